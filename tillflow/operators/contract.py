@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import documents as D
-from ..functions.instants import event_time
 from ..schemas import CONTRACTS, NESTED_COLUMNS, Field
 
 LENIENT, STRICT = "lenient", "strict"
@@ -60,30 +59,40 @@ def _container_schema(fields: Sequence[Field], f: Field) -> str:
     return f"array<struct<{inner}>>" if f.kind == "array" else f"struct<{inner}>"
 
 
-def _leaf_parts(node: Column, f: Field, prefix: str) -> dict[str, Column]:
-    parts = {f"{prefix}_type": D.type_code(node)}
+def _type(node: str) -> str:
+    return f"substring(schema_of_variant({node}), 1, 3)"
+
+
+def _get(node: str, path: str, kind: str = "variant") -> str:
+    return f"try_variant_get({node}, '$.{path}', '{kind}')" if path else f"try_variant_get({node}, '$', '{kind}')"
+
+
+def _leaf_parts(node: str, f: Field, prefix: str) -> dict[str, str]:
+    """SQL of the helper columns of one field."""
+    parts = {f"{prefix}_type": _type(node)}
     if f.kind in ("integer", "number"):
-        parts[f"{prefix}_number"] = D.number_of(node)
+        parts[f"{prefix}_number"] = _get(node, "", "double")
     if f.kind == "string":
-        parts[f"{prefix}_text"] = D.string_of(node)
+        parts[f"{prefix}_text"] = _get(node, "", "string")
     return parts
 
 
-def _assemble(df: DataFrame, fields: Sequence[Field], top: Callable[[Field, str], dict[str, Column]],
-              container: Callable[[Field], Column], extra: Sequence[str]) -> Opened:
+def _assemble(df: DataFrame, fields: Sequence[Field], top: Callable[[Field, str], dict[str, str]],
+              container: Callable[[Field], str], extra: Sequence[str]) -> Opened:
     """Helper columns of all fields. ``top`` gives those of a top-level field, ``container`` the parsed container."""
     plain = [f for f in fields if "[]." not in f.path]
     helpers = {f.path: f"_c{i}" for i, f in enumerate(plain)}
-    columns: dict[str, Column] = {}
+    columns: dict[str, str] = {}
     for f in plain:
         if "." in f.path:
             parent = next(p for p in plain if p.path == f.path.split(".")[0])
-            owner = container(parent)
-            node = owner[_leaf(f.path)] if _is_typed(fields, parent) else D.field(owner, _leaf(f.path))
+            owner, leaf = container(parent), _leaf(f.path)
+            node = f"{owner}.`{leaf}`" if _is_typed(fields, parent) else _get(owner, leaf)
             columns.update(_leaf_parts(node, f, helpers[f.path]))
         else:
             columns.update(top(f, helpers[f.path]))
-    return Opened(df.withColumns(columns), helpers, [*columns, *extra])
+    staged = df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
+    return Opened(staged, helpers, [*columns, *extra])
 
 
 def open_text(df: DataFrame, text: str, contract: str | Sequence[Field]) -> Opened:
@@ -91,23 +100,22 @@ def open_text(df: DataFrame, text: str, contract: str | Sequence[Field]) -> Open
     fields = _fields(contract)
     tops = [f for f in fields if "." not in f.path]
     schema = ",".join(f"`{f.path}` " + (_container_schema(fields, f) if _is_typed(fields, f) else "variant") for f in tops)
-    source = F.col(text)
-    parsed = df.withColumns({"_event": F.from_json(source, schema), "_is_object": D.is_json_object(source)})
+    parsed = df.withColumns({"_event": F.from_json(text, schema), "_is_object": D.is_json_object(F.col(text))})
 
-    def container(f: Field) -> Column:
-        return F.col("_event")[f.path]
+    def container(f: Field) -> str:
+        return f"_event.`{f.path}`"
 
-    def top(f: Field, prefix: str) -> dict[str, Column]:
+    def top(f: Field, prefix: str) -> dict[str, str]:
         node = container(f)
         if not _is_typed(fields, f):
             return _leaf_parts(node, f, prefix)
         # a container of another shape parses to null; only then its type is looked up in the text
-        other = D.type_code(D.field(F.try_parse_json(source), f.path))
-        parts = {f"{prefix}_type": F.when(node.isNotNull(), F.lit(D.CODES[f.kind][0])).otherwise(other)}
+        other = _type(_get(f"try_parse_json(`{text}`)", f.path))
+        parts = {f"{prefix}_type": f"CASE WHEN {node} IS NOT NULL THEN '{D.CODES[f.kind][0]}' ELSE {other} END"}
         if f.kind == "array":
             parts[f"{prefix}_elements"] = node
-            parts[f"{prefix}_size"] = F.when(node.isNotNull(), F.size(node)).otherwise(
-                F.json_array_length(F.get_json_object(source, f"$.{f.path}")))
+            parts[f"{prefix}_size"] = (f"CASE WHEN {node} IS NOT NULL THEN size({node}) "
+                                       f"ELSE json_array_length(get_json_object(`{text}`, '$.{f.path}')) END")
         return parts
 
     return _assemble(parsed, fields, top, container, ["_event", "_is_object"])
@@ -125,71 +133,75 @@ def open_row(df: DataFrame, source: str) -> Opened:
     """
     fields = _fields(source)
     nested = [f for f in fields if f.path in NESTED_COLUMNS[source] and f.path in df.columns]
-    staged = {}
+    staged = {"_is_object": F.lit(True)}
     for f in nested:
         text = F.col(f"`{f.path}`")
         staged[f"_n_{f.path}"] = (F.from_json(text, _container_schema(fields, f)) if _is_typed(fields, f)
                                   else F.try_parse_json(text))
-    parsed = df.withColumns({**staged, "_is_object": F.lit(True)})
-
-    def container(f: Field) -> Column:
-        return F.col(f"_n_{f.path}") if f in nested else F.lit(None).cast("variant")
-
-    def top(f: Field, prefix: str) -> dict[str, Column]:
-        if f.path not in df.columns:
-            column = F.lit(None).cast("string")
-            code = column
+        staged[f"_whole_{f.path}"] = D.is_whole_json(text)
+    parsed = df.withColumns(staged)
+
+    def container(f: Field) -> str:
+        return f"_n_{f.path}" if f in nested else "CAST(NULL AS VARIANT)"
+
+    def top(f: Field, prefix: str) -> dict[str, str]:
+        column = f"`{f.path}`" if f.path in df.columns else "CAST(NULL AS STRING)"
+        if f in nested:
+            code = (f"CASE WHEN {column} IS NULL THEN NULL WHEN NOT _whole_{f.path} THEN 'STR' "
+                    f"WHEN startswith(ltrim({column}), '{{') THEN 'OBJ' WHEN startswith(ltrim({column}), '[') THEN 'ARR' "
+                    f"WHEN trim({column}) = 'null' THEN 'VOI' ELSE 'STR' END")
+        elif f.path in df.columns:
+            known = COLUMN_CODES.get(df.schema[f.path].dataType.typeName(), "DEC")
+            code = f"CASE WHEN {column} IS NOT NULL THEN '{known}' END"
         else:
-            column = F.col(f"`{f.path}`")
-            if f in nested:
-                code = (F.when(column.isNull(), F.lit(None).cast("string")).when(~D.is_whole_json(column), "STR")
-                        .when(column.rlike(r"^\s*\{"), "OBJ").when(column.rlike(r"^\s*\["), "ARR")
-                        .when(F.trim(column) == "null", "VOI").otherwise("STR"))
-            else:
-                code = F.when(column.isNotNull(), COLUMN_CODES.get(df.schema[f.path].dataType.typeName(), "DEC"))
+            code = column
         parts = {f"{prefix}_type": code}
         if f.kind in ("integer", "number"):
-            parts[f"{prefix}_number"] = column.try_cast("double")
+            parts[f"{prefix}_number"] = f"try_cast({column} AS DOUBLE)"
         if f.kind == "string":
-            parts[f"{prefix}_text"] = column.cast("string")
+            parts[f"{prefix}_text"] = f"CAST({column} AS STRING)"
         if f.kind == "array":
             parts[f"{prefix}_elements"] = container(f)
-            parts[f"{prefix}_size"] = F.json_array_length(column)
+            parts[f"{prefix}_size"] = f"json_array_length({column})"
         return parts
 
-    return _assemble(parsed, fields, top, container, [*staged, "_is_object"])
+    return _assemble(parsed, fields, top, container, list(staged))
+
+
+def _quoted(values: Sequence[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def _fits(f: Field, code: Column, number: Column | None) -> Column:
+def _fits(f: Field, type_: str, number: str) -> str:
     if f.kind == "integer":  # 1.0 is an integer, 1.5, true and "1" are not
-        return (code == "BIG") | (code.isin("DEC", "DOU", "FLO") & (number % 1 == 0))
-    return code.isin(*D.CODES[f.kind])
+        return f"({type_} = 'BIG' OR ({type_} IN ('DEC', 'DOU', 'FLO') AND {number} % 1 = 0))"
+    return f"{type_} IN ({_quoted(D.CODES[f.kind])})"
 
 
-def _absent(f: Field, code: Column, mode: str) -> Column:
+def _absent(f: Field, type_: str, mode: str) -> str:
     """lenient: an explicit null counts as absent; strict: as a value of the wrong type, unless the field is nullable."""
-    return code.isNull() | (code == "VOI") if mode == LENIENT or f.nullable else code.isNull()
+    return f"({type_} IS NULL OR {type_} = 'VOI')" if mode == LENIENT or f.nullable else f"{type_} IS NULL"
 
 
-def _codes(f: Field, part, mode: str, check_formats: bool, tag: str) -> list[Column]:
-    """Violations of one field; each entry is a code or null. ``part(name)`` gives its type, number or text."""
-    code = part("type")
-    absent = _absent(f, code, mode)
-    fits = F.coalesce(_fits(f, code, part("number") if f.kind == "integer" else None), F.lit(False))
+def _codes(f: Field, prefix: str, mode: str, check_formats: bool, tag: str, inside: str = "") -> list[str]:
+    """SQL of the violations of one field; each is a code or null. ``inside`` is a further condition on all of them."""
+    type_, number, text = f"{prefix}_type", f"{prefix}_number", f"{prefix}_text"
+    absent = _absent(f, type_, mode)
+    fits = f"coalesce({_fits(f, type_, number)}, false)"
 
-    def violated(rule: str, broken: Column) -> Column:
-        return F.when(broken, F.lit(f"{tag}{rule}:{f.path}"))
+    def violated(rule: str, broken: str) -> str:
+        return f"CASE WHEN {inside}{broken} THEN '{tag}{rule}:{f.path}' END"
 
     out = []
     if f.required:
-        out.append(violated("missing", code.isNull() if mode == STRICT else absent))
-    out.append(violated("type", ~absent & ~fits))
+        out.append(violated("missing", f"{type_} IS NULL" if mode == STRICT else absent))
+    out.append(violated("type", f"NOT {absent} AND NOT {fits}"))
     if f.allowed:
-        out.append(violated("enum", fits & ~part("text").isin(*f.allowed)))
+        out.append(violated("enum", f"{fits} AND {text} NOT IN ({_quoted(f.allowed)})"))
     if f.minimum is not None:
-        out.append(violated("minimum", code.isin(*D.CODES["number"]) & (part("number") < f.minimum)))
+        out.append(violated("minimum", f"{type_} IN ({_quoted(D.CODES['number'])}) AND {number} < {f.minimum}"))
     if f.instant and check_formats:
-        out.append(violated("bad_timestamp", fits & event_time(part("text")).isNull()))
+        out.append(violated("bad_timestamp", f"{fits} AND try_to_timestamp({text}) IS NULL"))
     return out
 
 
@@ -199,63 +211,48 @@ def contract_text(opened: Opened, contract: str | Sequence[Field], mode: str = L
     if mode not in (LENIENT, STRICT):
         raise ValueError(f"mode is {LENIENT!r} or {STRICT!r}, not {mode!r}")
     fields = _fields(contract)
-    found: list[Column] = []
+    found: list[str] = []
     for f in fields:
         if "[]." in f.path:
             continue
-        codes = _codes(f, lambda name, path=f.path: opened.part(path, name), mode, check_formats, tag)
-        if "." in f.path:  # fields of an object are only checked where there is an object
-            inside = opened.part(f.path.split(".")[0], "type") == "OBJ"
-            codes = [F.when(inside, code) for code in codes]
-        found += codes
+        prefix = opened.helpers[f.path]
+        # fields of an object are only checked where there is an object
+        inside = f"{opened.helpers[f.path.split('.')[0]]}_type = 'OBJ' AND " if "." in f.path else ""
+        found += _codes(f, prefix, mode, check_formats, tag, inside)
         if f.min_items is not None:
-            too_few = (opened.part(f.path, "type") == "ARR") & (opened.part(f.path, "size") < f.min_items)
-            found.append(F.when(too_few, F.lit(f"{tag}min_items:{f.path}")))
+            found.append(f"CASE WHEN {prefix}_type = 'ARR' AND {prefix}_size < {f.min_items} THEN '{tag}min_items:{f.path}' END")
         if f.kind == "array" and _is_typed(fields, f):
-            is_array = opened.part(f.path, "type") == "ARR"
-            text = _element_text(opened.part(f.path, "elements"), f, _children(fields, f), mode, check_formats, tag)
-            found.append(F.when(is_array, text))
-    return F.when(F.col("_is_object"), F.concat_ws(SEPARATOR, *found)).otherwise(F.lit(f"{tag}type:$"))
+            text = _element_text(f"{prefix}_elements", f, _children(fields, f), mode, check_formats, tag)
+            found.append(f"CASE WHEN {prefix}_type = 'ARR' THEN {text} END")
+    return F.expr(f"CASE WHEN _is_object THEN concat_ws('{SEPARATOR}', {', '.join(found)}) ELSE '{tag}type:$' END")
 
 
-def _element_text(elements: Column, parent: Field, children: Sequence[Field], mode: str, check_formats: bool,
-                  tag: str) -> Column:
-    """Distinct violations over all elements of an array, null when every element is fine.
+def _element_text(elements: str, parent: Field, children: Sequence[Field], mode: str, check_formats: bool, tag: str) -> str:
+    """SQL of the distinct violations over all elements of an array, null when every element is fine.
 
     The codes are only put together for arrays with a bad element; most events stop at the ``exists``. An array that
     did not parse into objects has an element of another type.
     """
-    def shape(element: Column) -> Column:
-        parts = [element.isNull().alias("gone")]
-        for i, child in enumerate(children):
-            value = element[_leaf(child.path)]
-            parts.append(D.type_code(value).alias(f"f{i}_type"))
-            if child.minimum is not None or child.kind == "integer":
-                parts.append(D.number_of(value).alias(f"f{i}_number"))
-        return F.struct(*parts)
-
-    def bad(seen: Column) -> Column:
-        verdict = seen["gone"]
-        for i, child in enumerate(children):
-            code = seen[f"f{i}_type"]
-            ok = _fits(child, code, seen[f"f{i}_number"] if child.kind == "integer" else None)
-            if child.minimum is not None:
-                ok = ok & (seen[f"f{i}_number"] >= child.minimum)
-            if not child.required:
-                ok = ok | _absent(child, code, mode)
-            verdict = verdict | ~F.coalesce(ok, F.lit(False))
-        return verdict
-
-    def listed(seen: Column) -> Column:
-        codes = [code for i, child in enumerate(children)
-                 for code in _codes(child, lambda name: seen[f"f{i}_{name}"], mode, check_formats, tag)]
-        return F.when(~seen["gone"], F.concat_ws(SEPARATOR, *codes)).otherwise(F.lit(wrong))
-
-    wrong = f"{tag}type:{parent.path}[]"
-    shapes = F.transform(elements, shape)
-    texts = F.array_join(F.filter(F.transform(shapes, listed), lambda text: text != ""), SEPARATOR)
-    distinct = F.array_join(F.array_distinct(F.split(texts, SEPARATOR)), SEPARATOR)
-    return F.when(elements.isNull(), F.lit(wrong)).when(F.exists(shapes, bad), distinct)
+    shape, good, codes = ["e IS NULL AS gone"], [], []
+    for i, child in enumerate(children):
+        value, type_, number = f"e.`{_leaf(child.path)}`", f"s.f{i}_type", f"s.f{i}_number"
+        shape.append(f"{_type(value)} AS f{i}_type")
+        if child.minimum is not None or child.kind == "integer":
+            shape.append(f"{_get(value, '', 'double')} AS f{i}_number")
+        ok = _fits(child, type_, number)
+        if child.minimum is not None:
+            ok = f"({ok} AND {number} >= {child.minimum})"
+        if not child.required:
+            ok = f"({_absent(child, type_, mode)} OR {ok})"
+        good.append(f"coalesce({ok}, false)")
+        codes += _codes(child, f"s.f{i}", mode, check_formats, tag)
+    wrong = f"'{tag}type:{parent.path}[]'"
+    shapes = f"transform({elements}, e -> struct({', '.join(shape)}))"
+    listed = f"transform({shapes}, s -> CASE WHEN s.gone THEN {wrong} ELSE concat_ws('{SEPARATOR}', {', '.join(codes)}) END)"
+    joined = f"array_join(filter({listed}, t -> t <> ''), '{SEPARATOR}')"
+    distinct = f"array_join(array_distinct(split({joined}, '{SEPARATOR}')), '{SEPARATOR}')"
+    return (f"CASE WHEN {elements} IS NULL THEN {wrong} "
+            f"WHEN exists({shapes}, s -> s.gone OR NOT ({' AND '.join(good)})) THEN {distinct} END")
 
 
 def as_array(text: Column) -> Column:

@@ -29,6 +29,8 @@ def get_spark(app: str = "tillflow", master: str | None = None, input_bytes: int
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
         "spark.sql.parquet.compression.codec": "snappy",
+        # looking up the Python line of every column expression costs more than building it
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # state of the streaming dedup lives off-heap and on disk, not in the executor heap
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

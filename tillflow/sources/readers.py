@@ -18,6 +18,16 @@ def or_none(read, *args, **kwargs) -> DataFrame | None:
         raise
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan over at least as many tasks as the session has cores.
+
+    One file with a single row group is read by one task, and so is all the parsing that follows it. Such a small scan
+    is dealt out to the cores; a scan with enough splits, as on any large table, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_raw(spark: SparkSession, root: str, source: str) -> DataFrame:
     """Landed raw rows of one source, whatever folder layout is below the topic."""
     return (spark.read.schema(RAW[source]).option("recursiveFileLookup", "true")

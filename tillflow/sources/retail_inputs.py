@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.instants import iso_text
+from .readers import spread
 from ..schemas import (CATEGORIES, CHANNELS, INVENTORY_TYPES, PAYMENT_METHODS, TOPICS)
 
 MICROS = 1_000_000
@@ -24,7 +25,7 @@ def _padded(prefix: str, number: Column, width: int) -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with the derived keys ``n`` (event id), ``k`` (from props) and ``store_id``."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
         F.col("event_id").alias("n"), F.col("ts").cast("timestamp").alias("ts"), "user_id",
         F.col("event_type").alias("action"), F.col("value").alias("v"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -201,7 +202,7 @@ def envelope(spark: SparkSession, sf_dir: str, source: str, faults: bool = True)
 
 def products(spark: SparkSession, sf_dir: str, batch: int = 0) -> DataFrame:
     """Product records as JSON text with their feed page. Batch 1 holds every third product, dearer and 90 days newer."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet"))
     p = F.col("p_partkey")
     price = F.when(p % 37 == 0, F.lit(-1.0)).otherwise(_cents(F.col("p_retailprice") + batch))
     changed = F.date_add(F.lit("2024-01-01").cast("date"), (p % 60).cast("int") + 90 * batch)
@@ -244,7 +245,7 @@ def offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed POS rows built from orders and their lines, one sale per order; orders without lines keep ``[]``."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     item = F.struct(
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
         F.concat(F.lit("Product "), F.col("l_partkey").cast("string")).alias("product_name"),
