@@ -122,3 +122,13 @@ def test_read_any(spark, tmp_path):
     assert readers.read_any(spark, str(tmp_path / "many.json"), "event_id string").count() == 2
     with pytest.raises(ValueError):
         readers.read_any(spark, "x.txt")
+
+
+def test_quality_history_grows(spark, tmp_path):
+    from tillflow.operators import quality
+    from tillflow.plans.daily import record_quality
+    frame = spark.createDataFrame([("a", [])], "event_id string, errors array<string>")
+    for _ in range(2):
+        record_quality([quality.report(frame, "pos")], str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    assert history.count() == 2 and "validated_at" in history.columns

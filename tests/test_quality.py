@@ -219,3 +219,23 @@ def test_stringify_nested(spark):
 
 def test_bronze_annotation_of_empty_table(spark):
     assert quality.report(quality.annotate_bronze(spark.createDataFrame([], RAW["pos"]), "pos"), "pos").first().total_records == 0
+
+
+def test_validate_on_request(spark, tmp_path, capsys):
+    from tillflow.__main__ import main
+    (tmp_path / "one.json").write_text(changed())
+    (tmp_path / "many.json").write_text("[" + changed() + ",\n" + changed(event_id="bad", items=[]) + "]")
+    assert main(["validate", "--file", str(tmp_path / "one.json"), "--source", "pos"]) == 0
+    assert main(["validate", "--file", str(tmp_path / "many.json"), "--source", "pos"]) == 1
+    out = capsys.readouterr().out
+    assert "[PASS] pos: 1/1 valid (100.0%)" in out and "[FAIL] pos: 1/2 valid (50.0%)" in out
+    assert "bad: schema: min_items:items; business_rule: has_items" in out
+
+
+def test_validate_parquet(spark, tmp_path):
+    from tillflow.plans.validate import validate
+    path = str(tmp_path / "rows.parquet")
+    spark.createDataFrame([], RAW["ecommerce"]).write.parquet(path)
+    assert not validate(spark, path, "ecommerce")
+    with pytest.raises(ValueError):
+        validate(spark, "x.csv", "pos")
