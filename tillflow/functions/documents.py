@@ -26,10 +26,6 @@ def parse_object(text: Column) -> Column:
     return F.when(is_json_object(text), F.try_parse_json(text))
 
 
-def field(document: Column, path: str) -> Column:
-    return F.try_variant_get(document, f"$.{path}", "variant")
-
-
 def type_code(node: Column) -> Column:
     """First three letters of Spark's name of a VARIANT's type; SQL NULL when the field is absent.
 
@@ -51,14 +47,6 @@ def json_type(code: Column) -> Column:
     return F.when(code.isNotNull(), name.otherwise("other"))
 
 
-def number_of(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "double")
-
-
-def string_of(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "string")
-
-
 def stringify_nested(df: DataFrame) -> DataFrame:
     """Struct, array and map columns as JSON text, everything else unchanged."""
     nested = (T.StructType, T.ArrayType, T.MapType)
