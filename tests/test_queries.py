@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = entry.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(entry.QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert difference(entry.queries()[name](spark, SF), con, ORACLE[name]) is None
+    assert difference(entry.QUERIES[name](spark, SF), con, ORACLE[name]) is None
 
 
 def test_entry(spark):
