@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, simhash
+from . import language, mixing, packing, quality, secret_scan, simhash
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
@@ -14,10 +14,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.findings(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -26,5 +34,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("key")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op7_simhash, op8_mixing)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op6_secrets, op7_simhash, op8_mixing, op10_quality)}
 ORACLE: dict[str, str] = {}
