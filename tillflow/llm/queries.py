@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, packing, quality, secret_scan, simhash
+from . import language, mixing, nearest, packing, quality, secret_scan, simhash, topk
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(_table(spark, sf_dir, "documents"))
 
@@ -34,9 +38,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op6_secrets, op7_simhash, op8_mixing, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op4_nearest, op6_secrets, op7_simhash, op8_mixing, op9_topk, op10_quality)}
 ORACLE: dict[str, str] = {}
