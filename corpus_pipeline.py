@@ -9,10 +9,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import mixing, packing
+from tillflow.llm import language, mixing, near_copies, packing, secret_scan
 from tillflow.llm.shared import staged
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; texts without a letter and texts of no certain language go."""
+    return language.accepted(docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies (five-word shingles, similarity 0.8 or more)."""
+    return near_copies.kept(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets masked."""
+    return secret_scan.redacted(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's share of the words asks for."""
     return mixing.repeated(docs)
@@ -23,7 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack)]
+STAGES = [("language", known_language), ("near_copies", without_copies), ("secrets", without_secrets), ("mixing", mix_sources), ("packing", pack)]
 #: SQL cannot express the classifiers and the tokenizer; tests hold each stage against plain Python.
 ORACLE_SQL = None
 

@@ -1,0 +1,147 @@
+"""One document of each group of near-copies: SimHash ball hashing finds pairs, five-word shingles decide.
+
+A text's words (ASCII lower case) give ``TABLES`` 32-bit fingerprints of its two-word shingles, which scattered edits disturb
+less than longer ones. Each fingerprint emits its ball of half the radius, itself and its one-bit variants; texts that share a
+variant are candidates: each with its neighbour and with the first of the variant, so that a large group makes no more pairs
+than rows. Candidates whose fingerprints differ in more than ``FAR_BITS`` of all bits are dropped, the others are linked where
+the Jaccard similarity of their sets of five-word shingles is ``LEAST`` or more, and of each connected group the row with the
+smallest id stays. Texts of equal words are copies, those without words (null, empty) are one group of copies, texts of fewer
+words are one shingle. Of repeated rows one stays; a null id counts as larger than any other. An empty table gives an empty
+result; all columns are kept as they were.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window, functions as F
+
+from .shared import slices, staged
+from .simhash import components
+
+SHINGLE, LEAST = 5, 0.8
+PAIR, TABLES = 2, 6
+FAR_BITS = 44
+SLICE_BYTES = 1 << 18
+ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Every bit of the result depends on every bit of h."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(ODD[1])
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(ODD[2])
+    return h ^ (h >> np.uint64(32))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    words = (text or "").encode().lower().split()
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def shingles(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n words, repeats included; fewer words are one run, no words none."""
+    n = min(n, len(words))
+    if not n:
+        return words
+    h = np.full(len(words) - n + 1, n, np.uint64)
+    for k in range(n):
+        h += words[k:len(words) - n + 1 + k] * np.uint64(ODD[k])
+    return mixed(h)
+
+
+def fingerprints(words: np.ndarray) -> np.ndarray:
+    """``TABLES`` numbers of 32 bits, each bit the majority over the two-word shingles."""
+    pairs = shingles(words, PAIR)
+    if not len(pairs):
+        return np.zeros(TABLES, np.int64)
+    bits = [np.unpackbits(mixed(pairs + np.uint64(k * ODD[0] & (1 << 64) - 1)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+            for k in range(-(-TABLES // 2))]
+    return np.packbits(np.concatenate(bits)[: 32 * TABLES] * 2 > len(pairs), bitorder="little").view(np.uint32).astype(np.int64)
+
+
+def _key(words: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(words.tobytes())
+
+
+def _signed(docs: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), key (of its words), fps."""
+    def run(batches):
+        for batch in slices(batches, "text", SLICE_BYTES):
+            words = [word_hashes(t) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array([_key(w) for w in words], pa.binary()),
+                                              pa.array([fingerprints(w) for w in words], pa.list_(pa.int64()))], ["doc_id", "th", "key", "fps"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, th long, key binary, fps array<long>")
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """key and its set of shingles (sorted 32-bit hashes), each key once to a task."""
+    def run(batches):
+        seen = set()
+        for batch in slices(batches, "text", SLICE_BYTES):
+            rows = []
+            for text in batch["text"].to_pylist():
+                words = word_hashes(text)
+                if (key := _key(words)) not in seen:
+                    seen.add(key)
+                    rows.append((key, np.unique(shingles(words, SHINGLE).astype(np.uint32)).tobytes()))
+            if len(seen) > 1 << 17:
+                seen.clear()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)], ["key", "shingles"])
+    return docs.select("text").mapInArrow(run, "key binary, shingles binary")
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    both = np.intersect1d(x, y, assume_unique=True).size
+    return both / (len(x) + len(y) - both)
+
+
+def candidate_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs a < b of node numbers that share a variant of a fingerprint, and differ little over all of them."""
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(32)])
+    each = nodes.select("n", F.posexplode("fps").alias("table", "fp"))
+    buckets = each.select("n", F.explode(F.transform(flips, lambda m: F.shiftleft(F.col("table").cast("long"), 32) + F.col("fp").bitwiseXOR(m))).alias("bucket"))
+    order = Window.partitionBy("bucket").orderBy("n")
+    met = buckets.select("n", F.lag("n").over(order).alias("near"), F.first("n").over(order).alias("first")).where("near is not null")
+    pairs = met.select(F.col("n").alias("b"), F.explode(F.array_distinct(F.array("near", "first"))).alias("a")).distinct()
+    far = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
+    return (pairs.join(nodes.select(F.col("n").alias("a"), F.col("key").alias("ka"), F.col("fps").alias("fa")), "a")
+            .join(nodes.select(F.col("n").alias("b"), F.col("key").alias("kb"), F.col("fps").alias("fb")), "b")
+            .where(far <= FAR_BITS).select("a", "b", "ka", "kb"))
+
+
+def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes whose shingle sets are similar enough."""
+    pairs = staged(candidate_pairs(nodes), "copies-pairs", tidy=True)
+    keys = pairs.select(F.col("ka").alias("key")).union(pairs.select(F.col("kb").alias("key"))).distinct()
+    sets = _sets(docs).join(keys, "key", "left_semi").groupBy("key").agg(F.max("shingles").alias("shingles"))
+    sets = staged(sets, "copies-sets", tidy=True)
+    both = (pairs.join(sets.withColumnsRenamed({"key": "ka", "shingles": "sa"}), "ka")
+            .join(sets.withColumnsRenamed({"key": "kb", "shingles": "sb"}), "kb").select("a", "b", "sa", "sb"))
+
+    def run(batches):
+        for batch in slices(batches, "sa", 1 << 22):
+            alike = [similarity(x, y) >= LEAST for x, y in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+    return both.mapInArrow(run, "a long, b long")
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """One document of each group of copies and near-copies; columns as they were."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
+    signed = staged(_signed(docs), "copies-signed")
+    nodes = signed.groupBy("key").agg(first.alias("row"), F.min("fps").alias("fps"))
+    nodes = staged(nodes.withColumn("n", F.monotonically_increasing_id()), "copies-nodes")
+    roots = components(links(docs, nodes)).withColumnRenamed("node", "n")
+    stay = nodes.join(roots, "n", "left").groupBy(F.coalesce("root", "n").alias("root")).agg(F.min("row").alias("row"))
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_id")
+    stay = staged(stay.select(name("row.doc_id"), F.coalesce("row.th", F.lit(0)).alias("_th")), "copies-kept", tidy=True)
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], name("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_th"))
+    # equal rows share id and hash: one of them stays
+    chosen = inner.join(stay, ["_id", "_th"]).withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.lit(0))))
+    return chosen.where("_n = 1").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

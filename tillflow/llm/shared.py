@@ -10,15 +10,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written below the shared folder and read again: lineage is cut, and lost executors cost no recomputation."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame, purpose: str, tidy: bool = False) -> DataFrame:
+    """The rows written below the shared folder and read again: lineage is cut, and lost executors cost no recomputation.
+
+    ``tidy``: the write's shuffle files are removed when it has ended instead of when the driver next collects garbage.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
+    before = spark.conf.get(CLEANUP, None)
+    if tidy:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold(column: str, parts: int, part: int) -> Column:
