@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, nearest, packing, quality, secret_scan, simhash, topk
+from . import language, mixing, nearest, packing, quality, secret_scan, simhash, suffix_tree, topk
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(_table(spark, sf_dir, "documents"))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -46,5 +50,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op4_nearest, op6_secrets, op7_simhash, op8_mixing, op9_topk, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_suffix_tree, op4_nearest, op6_secrets, op7_simhash, op8_mixing, op9_topk, op10_quality)}
 ORACLE: dict[str, str] = {}
