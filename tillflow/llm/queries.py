@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, nearest, packing, quality, secret_scan, simhash, suffix_tree, topk
+from . import language, mixing, nearest, packing, quality, repeats, secret_scan, simhash, suffix_tree, topk
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
@@ -30,6 +30,10 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(_table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(_table(spark, sf_dir, "documents"))
 
@@ -50,5 +54,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_suffix_tree, op4_nearest, op6_secrets, op7_simhash, op8_mixing, op9_topk, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_suffix_tree, op4_nearest, op5_repeats, op6_secrets, op7_simhash, op8_mixing, op9_topk, op10_quality)}
 ORACLE: dict[str, str] = {}
