@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
 
@@ -37,6 +40,18 @@ def fold(column: str, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % parts == part, F.lit(False))
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package where the session has not been told to (once a session)."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(__file__).parents[1]
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='package-')}/{package.name}", "zip", package.parent, package.name))
+
+
+_SHIPPED: set[str] = set()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about ``limit`` bytes of ``column``, so that long texts do not add up in a task."""
     for batch in batches:
