@@ -12,7 +12,8 @@ the longest suffix that is a state.
 Counts cover all learning documents. A context can only repeat where its parts do, so each pass skips what a bitmap of
 ``BITS`` bits rules out; the bitmap's size is fixed, and where it is too small for a corpus it only rules out less. For scoring,
 documents meet in blocks of about ``BLOCK_BYTES``; a block asks for the values of its distinct tokens and contexts, so that a
-frequent token is asked for once a block.
+frequent token is asked for once a block. What tasks send each other are columns of numbers, one row for each part of the keys;
+a part holds a bounded share of the keys, and there are as many as the text is long.
 
 Null and empty texts are their end token. Rows with equal ids are rows of their own; an empty table gives an empty result; with
 nothing to learn from all counts are 0. Words are told apart by 64-bit hashes. Other columns are ignored.
@@ -28,10 +29,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .shared import fold, slices, staged, total_bytes
 
 DEPTH = 2
-GAIN, KAPPA = 3.0, 1.0
+GAIN, KAPPA = 8.0, 1.0
 BITS = 1 << 26
 BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
+#: Text of a part of the keys.
+PART_BYTES = 8 << 20
 #: Counted windows that a task gathers before it passes them on.
 GATHER = 1 << 21
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))
@@ -57,14 +60,14 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return out, ends - size
 
 
-def contexts(x: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per depth from 1: ids of the contexts of that length that end before each position, and whether there is one."""
+def contexts(x: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per depth from 1: ids of the contexts of that length that end before each position, whether there is one, and ids of
+    the runs of that length that end with the position."""
     place = np.arange(len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
     ids, found = x, []
     for depth in range(1, DEPTH + 1):
-        # ids[i] is the run of ``depth`` tokens that ends at i
         before = np.roll(ids, 1)
-        found.append((before, place >= depth))
+        found.append((before, place >= depth, ids))
         ids = joined(before, x)
     return found
 
@@ -90,131 +93,188 @@ def _long(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64))
 
 
-def token_counts(docs: DataFrame) -> DataFrame:
+def dealt(parts: int, key: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row for each part of the keys that occurs: the part, and the columns' values there as bytes."""
+    part = key.view(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    cut = [pa.array([v[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary()) for v in (c[order] for c in columns.values())]
+    return pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]]), *cut], ["part", *columns])
+
+
+def taken(table: pa.Table, column: str, kind=np.uint64) -> np.ndarray:
+    """The values of all rows of a column of bytes."""
+    return np.frombuffer(b"".join(table[column].to_pylist()), kind)
+
+
+def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key is first, and the sum of its n."""
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]]) if len(key) else np.zeros(0, np.int64)
+    return order[first], np.add.reduceat(n[order], first) if len(first) else np.zeros(0, np.int64)
+
+
+def token_counts(docs: DataFrame, parts: int) -> DataFrame:
     """key and n of every token."""
+    def counted(gathered):
+        keys, n = np.unique(np.concatenate(gathered), return_counts=True)
+        return dealt(parts, keys, {"keys": keys, "ns": n})
+
     def run(batches):
         gathered, size = [], 0
         for batch in slices(batches, "text", SLICE_BYTES):
             gathered.append(tokens(batch["text"].to_pylist())[0])
             size += len(gathered[-1])
             if size > GATHER:
-                yield _counted(gathered, ["key"])
+                yield counted(gathered)
                 gathered, size = [], 0
         if gathered:
-            yield _counted(gathered, ["key"])
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
+            yield counted(gathered)
 
-def _counted(parts: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    keys, n = np.unique(np.concatenate(parts), return_counts=True)
-    return pa.RecordBatch.from_arrays([_long(keys), pa.array(n)], [*names, "n"])
+    def merge(table: pa.Table) -> pa.Table:
+        keys = taken(table, "keys")
+        at, n = summed(keys, taken(table, "ns", np.int64))
+        return pa.table([_long(keys[at]), pa.array(n)], ["key", "n"])
+    return docs.select("text").mapInArrow(run, "part long, keys binary, ns binary").groupBy("part").applyInArrow(merge, "key long, n long")
 
 
-def successor_counts(docs: DataFrame, depth: int, may_repeat) -> DataFrame:
-    """s, x and n >= 2 for contexts of the depth; ``may_repeat`` rules out contexts, and tokens, that occur once."""
+def successor_counts(docs: DataFrame, depth: int, may_repeat, parts: int) -> DataFrame:
+    """s, x, n >= 2 and id for contexts of the depth; ``may_repeat`` rules out runs of that length that occur once."""
     def counted(s, x):
         ids = joined(s, x)
-        _, first, n = np.unique(ids, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([_long(s[first]), _long(x[first]), pa.array(n)], ["s", "x", "n"])
+        at, n = summed(ids, np.ones(len(ids), np.int64))
+        return dealt(parts, ids[at], {"ss": s[at], "xs": x[at], "ns": n})
 
     def run(batches):
         left, right, size = [], [], 0
         for batch in slices(batches, "text", SLICE_BYTES):
             x, starts = tokens(batch["text"].to_pylist())
-            s, real = contexts(x, starts)[depth - 1]
-            real = real & may_repeat.value.has(s)
-            if depth == 1:
-                real &= may_repeat.value.has(x)
+            s, real, runs = contexts(x, starts)[depth - 1]
+            real = real & may_repeat.value.has(s) & may_repeat.value.has(runs)
             left.append(s[real]), right.append(x[real])
             size += len(left[-1])
             if size > GATHER:
                 yield counted(np.concatenate(left), np.concatenate(right))
                 left, right, size = [], [], 0
-        if left:
+        if size:
             yield counted(np.concatenate(left), np.concatenate(right))
-    return docs.select("text").mapInArrow(run, "s long, x long, n long").groupBy("s", "x").agg(F.sum("n").alias("n")).where("n >= 2")
+
+    def merge(table: pa.Table) -> pa.Table:
+        s, x = taken(table, "ss"), taken(table, "xs")
+        ids = joined(s, x)
+        at, n = summed(ids, taken(table, "ns", np.int64))
+        at, n = at[n >= 2], n[n >= 2]
+        return pa.table([_long(s[at]), _long(x[at]), pa.array(n), _long(ids[at])], ["s", "x", "n", "id"])
+    sent = docs.select("text").mapInArrow(run, "part long, ss binary, xs binary, ns binary")
+    return sent.groupBy("part").applyInArrow(merge, "s long, x long, n long, id long")
 
 
-def _with_id(pairs: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
-    """Adds columns that hold the id of one column followed by another."""
+def _with_id(pairs: DataFrame, column: str, a: str, b: str) -> DataFrame:
+    """Adds a column with the id of one column followed by another."""
     def run(batches):
         for batch in batches:
-            found = [_long(joined(batch[a].to_numpy(zero_copy_only=False).view(np.uint64), batch[b].to_numpy(zero_copy_only=False).view(np.uint64))) for a, b in columns.values()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *columns])
+            left, right = (batch[c].to_numpy(zero_copy_only=False).view(np.uint64) for c in (a, b))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _long(joined(left, right))], [*batch.schema.names, column])
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
-    return pairs.mapInArrow(run, kinds + "".join(f", {c} long" for c in columns))
+    return pairs.mapInArrow(run, f"{kinds}, {column} long")
 
 
-def states(pairs: DataFrame, suffix_p: Column) -> DataFrame:
-    """Rows (s, id, total, n, ...) of the contexts that pass the divergence test, with ``a`` and ``lam``."""
-    kept = pairs.withColumn("p", suffix_p)
-    test = kept.groupBy("s").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p"))).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("c"))
+def states(pairs: DataFrame) -> DataFrame:
+    """s, x, id, a and lam of the contexts that pass the divergence test; ``pairs`` has s, x, id, n, total and p."""
+    gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p")))
+    test = pairs.groupBy("s").agg(gain.alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("c"))
     test = test.where(F.col("gain") >= GAIN * F.col("kinds")).select("s", "c")
     whole = F.col("total") + KAPPA
-    return kept.join(test, "s").withColumn("a", F.col("n") / whole).withColumn("lam", (F.col("total") - F.col("c") + KAPPA) / whole)
+    return pairs.join(test, "s").select("s", "x", "id", (F.col("n") / whole).alias("a"), ((F.col("total") - F.col("c") + KAPPA) / whole).alias("lam"))
 
 
-def model(docs: DataFrame) -> tuple[DataFrame, int, int]:
+def model(docs: DataFrame, parts: int) -> tuple[DataFrame, int, int]:
     """(key, n, lam, a): counts of tokens, weights of states' suffixes, and shares of their successors; then N and V."""
-    words = staged(token_counts(docs), "tree-tokens", tidy=True)
+    words = staged(token_counts(docs, parts), "tree-tokens", tidy=True)
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    root = (F.col("nx") + 1) / F.lit(float(total + kinds + 1))
-    tables = [words.select("key", "n", F.lit(None).cast("double").alias("lam"), F.lit(None).cast("double").alias("a"))]
-    before, known = words, None  # contexts that may be extended, and the states of the depth before
+    root = ((F.col("nx") + 1) / F.lit(float(total + kinds + 1))).alias("root")
+    none = lambda kind: F.lit(None).cast(kind)
+    tables = [words.select("key", "n", none("double").alias("lam"), none("double").alias("a"))]
+    before, known = words, None  # runs of the depth before, and its states
     for depth in range(1, DEPTH + 1):
         may = bitmap(before.where("n >= 2").select("key"))
-        pairs = staged(_with_id(successor_counts(docs, depth, may), {"id": ("s", "x")}), "tree-pairs", tidy=True)
-        rows = pairs.join(words.select(F.col("key").alias("x"), F.col("n").alias("nx")), "x")
+        pairs = staged(successor_counts(docs, depth, may, parts), "tree-pairs", tidy=True)
+        totals = before.select(F.col("key").alias("s"), F.col("n").alias("total"), *[c for c in ("suffix",) if depth > 1])
+        rows = pairs.join(words.select(F.col("key").alias("x"), F.col("n").alias("nx")), "x").select("s", "x", "id", "n", root).join(totals, "s")
         if depth == 1:
-            rows = rows.join(words.select(F.col("key").alias("s"), F.col("n").alias("total")), "s")
-            p = root
-        else:
-            rows = rows.join(before.select(F.col("key").alias("s"), F.col("n").alias("total"), F.col("suffix")), "s")
-            rows = _with_id(rows, {"sx": ("suffix", "x")})
-            rows = (rows.join(known.select(F.col("id").alias("sx"), F.col("a").alias("sa")), "sx", "left")
+            rows = rows.withColumnRenamed("root", "p")
+        else:  # what the suffix, a context of the depth before, predicts
+            rows = staged(_with_id(rows, "sx", "suffix", "x"), "tree-suffixes", tidy=True)
+            rows = (rows.join(known.select(F.col("id").alias("sx"), F.col("a").alias("sa")), "sx", "left").drop("sx")
                     .join(known.select(F.col("s").alias("suffix"), F.col("lam").alias("sl")).distinct(), "suffix", "left"))
-            p = F.coalesce("sa", F.lit(0.0)) + F.coalesce("sl", F.lit(1.0)) * root
-        known = staged(states(rows, p).select("s", "x", "id", "a", "lam"), "tree-states", tidy=True)
-        none = lambda kind: F.lit(None).cast(kind)
+            rows = rows.select("s", "x", "id", "n", "total", (F.coalesce("sa", F.lit(0.0)) + F.coalesce("sl", F.lit(1.0)) * F.col("root")).alias("p"))
+        known = staged(states(rows), "tree-states", tidy=True)
         tables += [known.select(F.col("s").alias("key"), none("long").alias("n"), "lam", none("double").alias("a")).distinct(),
                    known.select(F.col("id").alias("key"), none("long").alias("n"), none("double").alias("lam"), "a")]
-        # a run of tokens that occurs twice is the context of the next depth; its suffix drops the first token
+        # a run that occurs twice is a context of the next depth; its suffix drops the first token
         before = pairs.select(F.col("id").alias("key"), "n", F.col("x").alias("suffix")) if depth == 1 else before
     every = tables[0]
     for t in tables[1:]:
         every = every.unionByName(t)
-    return staged(every.groupBy("key").agg(F.max("n").alias("n"), F.max("lam").alias("lam"), F.max("a").alias("a")), "tree-model", tidy=True), total, kinds
+    return every, total, kinds
 
 
-def asked(key, table: pa.Table, in_model) -> pa.Table:
-    """The distinct tokens of a block, and its contexts that the model may hold."""
+def asked(key, table: pa.Table, in_model, parts: int) -> pa.Table:
+    """The distinct tokens of a block, and its contexts that the model may hold, for each part of the keys."""
     x, starts = tokens(table["text"].to_pylist())
     wanted = [x]
-    for s, real in contexts(x, starts):
+    for s, real, _ in contexts(x, starts):
         ids = joined(s, x)[real]
         wanted.append(ids[in_model.has(ids)])
     keys = np.unique(np.concatenate(wanted))
-    return pa.table([pa.array(np.full(len(keys), key[0].as_py()), pa.int64()), _long(keys)], ["block", "key"])
+    sent = dealt(parts, keys, {"keys": keys})
+    return pa.table([pa.array(np.full(sent.num_rows, key[0].as_py()), pa.int64()), *sent.columns], ["block", *sent.schema.names])
+
+
+def answered(requests: pa.Table, model: pa.Table) -> pa.Table:
+    """For each block that asks, the keys that the model's part has, with their values."""
+    keys = model["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys, kind="stable")
+    keys, first = np.unique(keys[order], return_index=True)
+    values = {}
+    for name, missing in (("n", 0), ("lam", 0.0), ("a", 0.0)):  # the key of a token, a state and a successor may be one
+        column = model[name].fill_null(missing).to_numpy()[order]
+        values[name] = np.maximum.reduceat(column, first) if len(first) else column
+    rows = []
+    for block, wanted in zip(requests["block"].to_pylist(), requests["keys"].to_pylist()):
+        if len(keys):
+            at = np.searchsorted(keys, np.frombuffer(wanted, np.uint64))
+            at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == np.frombuffer(wanted, np.uint64))]
+            if len(at):
+                rows.append((block, keys[at].tobytes(), *(v[at].tobytes() for v in values.values())))
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    return pa.table([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["block", "keys", "n", "lam", "a"])
 
 
 def scores(table: pa.Table, found: pa.Table, total: int, kinds: int) -> pa.Table:
     """doc_id, held_out, n_tokens, n_known, base_score and score of a block's documents."""
-    order = np.argsort(found["key"].to_numpy().view(np.uint64), kind="stable")
-    keys = found["key"].to_numpy().view(np.uint64)[order]
-    n, lam, a = (found[c].fill_null(z).to_numpy()[order] for c, z in (("n", 0), ("lam", 1.0), ("a", 0.0)))
+    keys = taken(found, "keys")
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    n, lam, a = (taken(found, c, k)[order] for c, k in (("n", np.int64), ("lam", np.float64), ("a", np.float64)))
 
-    def value(ids: np.ndarray, values: np.ndarray, missing) -> np.ndarray:
+    def value(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """0 where the model does not have the id."""
         if not len(keys):
-            return np.full(len(ids), missing, values.dtype)
+            return np.zeros(len(ids), values.dtype)
         at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-        return np.where(keys[at] == ids, values[at], missing)
+        return np.where(keys[at] == ids, values[at], 0)
 
     x, starts = tokens(table["text"].to_pylist())
-    count = value(x, n, 0)
+    count = value(x, n)
     base = (count + 1) / float(total + kinds + 1)
     p = base
-    for s, real in contexts(x, starts):
-        p = np.where(real, value(joined(s, x), a, 0.0) + value(s, lam, 1.0) * p, p)
+    for s, real, _ in contexts(x, starts):
+        lower = value(s, lam)
+        state = np.flatnonzero(real & (lower > 0))
+        p = p.copy()
+        p[state] = value(joined(s[state], x[state]), a) + lower[state] * p[state]
     each = lambda v: np.add.reduceat(v, starts) if len(starts) else np.zeros(0, v.dtype)
     sizes = np.diff(np.append(starts, len(x)))
     return pa.table([table["doc_id"], table["held_out"], pa.array(sizes.astype(np.int64)), pa.array(each((count > 0).astype(np.int64))),
@@ -224,13 +284,16 @@ def scores(table: pa.Table, found: pa.Table, total: int, kinds: int) -> pa.Table
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; texts whose crc32(doc_id) leaves 2 by 7 are not learned."""
     docs = docs.select("doc_id", "text", fold("doc_id", 7, 2).alias("held_out"))
-    learned, total, kinds = model(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
-    in_model = bitmap(learned.where("lam is not null or a is not null").select("key"))
-    blocks = 1 + total_bytes(docs) // BLOCK_BYTES
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    wanted = dealt.select("block", "text").groupBy("block").applyInArrow(lambda key, t: asked(key, t, in_model.value), "block long, key long")
-    found = staged(wanted.join(learned, "key").select("block", "key", "n", "lam", "a"), "tree-found", tidy=True)
+    size = total_bytes(docs)
+    parts, blocks = 1 + size // PART_BYTES, 1 + size // BLOCK_BYTES
+    every, total, kinds = model(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()), parts)
+    in_model = bitmap(every.where("lam is not null or a is not null").select("key"))
+    blocked = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    wanted = blocked.select("block", "text").groupBy("block").applyInArrow(lambda key, t: asked(key, t, in_model.value, parts), "block long, part long, keys binary")
+    values = "block long, keys binary, n binary, lam binary, a binary"
+    found = wanted.groupBy("part").cogroup(every.withColumn("part", F.pmod("key", F.lit(parts))).groupBy("part")).applyInArrow(lambda key, r, m: answered(r, m), values)
+    found = staged(found, "tree-found", tidy=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
+    out = blocked.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
         lambda key, t, f: scores(t, f, total, kinds), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
