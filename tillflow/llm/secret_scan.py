@@ -22,8 +22,9 @@ from .shared import staged
 NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
 RUN = "[A-Za-z0-9+/_-]"
 #: A long run with a digit, or a value assigned to a telling name.
-CANDIDATE = (f"(?<!{RUN})(?=[A-Za-z+/_-]{{0,200}}[0-9]){RUN}{{16,}}={{0,2}}"
-             f"|(?<=(?i:{NAMES})[\"']?\\s{{0,3}}[:=]\\s{{0,3}}[\"']?)[^\\s\"'<>,;]{{8,}}")
+#: Cheap looks behind come first, so that the dear ones run only behind an assignment.
+CANDIDATE = (f"(?<!{RUN})(?=[A-Za-z+/_-]*+[0-9]){RUN}{{16,}}+={{0,2}}"
+             f"|(?<=[:=\"'\\s])(?<=[:=]\\s{{0,3}}[\"']?)(?<=(?i:{NAMES})[\"']?\\s{{0,3}}[:=]\\s{{0,3}}[\"']?)[^\\s\"'<>,;]{{8,}}")
 ISSUED = "^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[opsu]_[A-Za-z0-9]{36}|^xox[abprs]-|^[sr]k_live_[0-9a-zA-Z]{16}|^AIza[0-9A-Za-z_-]{35}$"
 SUMS = "(?i)(commit|sha-?[0-9]*|md5|checksum|digest|uuid|etag|revision|integrity)\\W{0,6}$"
 ASSIGNED = f"(?i)({NAMES})[\"']?\\s*[:=]\\s*[\"']?$"
