@@ -41,7 +41,7 @@ class Words(dict):
     the only one that ends a unit: so many of them can be encoded as one text and parted again.
     """
 
-    MOST = 600_000
+    MOST = 1_500_000
     TAIL = re.compile(r"(.*[^!-&(-/:-@\[-`{-~'])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
     def __init__(self, path: str):
@@ -97,30 +97,74 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+STOP = np.zeros(256, bool)
+STOP[[ord(c) for c in ".!?"]] = True
+BASE = 0x9E3779B97F4A7C15
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64."""
+    return tuple(np.cumprod(np.full(n, base, np.uint64)) for base in (BASE, pow(BASE, -1, 1 << 64)))
+
+
+def split(texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as bytes; begin, end and hash of each word (at ASCII white space only); how many words each text has."""
+    parts = [(t or "").encode() for t in texts]
+    data = b"\n".join([b"", *parts, b""])
+    raw = np.frombuffer(data, np.uint8)
+    space = SPACE[raw]
+    begin, end = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+    powers, inverse = _powers(1 << max(21, (len(data) + 1).bit_length()))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
+    h = (sums[end] - sums[begin]) * inverse[begin]
+    edges = np.cumsum([1, *(len(p) + 1 for p in parts)])
+    return data, begin, end, h ^ (h >> np.uint64(32)), np.diff(np.searchsorted(begin, edges))
+
+
 def encode(texts: list[str | None], words: Words) -> Iterator[tuple[bytes, list[int], list[int]]]:
-    """Per text: ids with the end token, and where a window may end (token positions) with the cost of ending there."""
-    parted = [(t or "").encode().split() for t in texts]  # bytes split at ASCII white space only
-    found = [list(map(words.get, parts)) for parts in parted]
-    if missing := {w for parts, ids in zip(parted, found) if None in ids for w, i in zip(parts, ids) if i is None}:
-        words.learn(missing)
-        found = [list(map(words.get, parts)) if None in ids else ids for parts, ids in zip(parted, found)]
-        if any(None in ids for ids in found):  # the words known before were cleared away
-            words.learn({w for parts in parted for w in parts})
-            found = [list(map(words.get, parts)) for parts in parted]
-    for parts, ids in zip(parted, found):
-        at = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) >> 2
-        total = int(at[-1]) if len(at) else 0
-        stops = at[[i for i, w in enumerate(parts) if w[-1] in b".!?"]].tolist()
-        ends, costs, before = [], [], 0
-        for end in [*stops, total]:
-            inner = range(before + PIECE, end, PIECE)
-            ends += inner
-            costs += [CUT_SENTENCE] * len(inner)
-            if end > before:
-                ends.append(end)
-                costs.append(CUT_DOCUMENT)
-            before = max(before, end)
-        yield b"".join(ids) + END_ID.to_bytes(4, "little"), [*ends, total + 1], [*costs, 0]
+    """Per text: ids with the end token, and where a window may end (token positions) with the cost of ending there.
+
+    Each distinct word of the texts is looked up once.
+    """
+    data, begin, end, h, counts = split(texts)
+    _, first, kind = np.unique(h, return_index=True, return_inverse=True)
+    keys = [data[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
+    found = list(map(words.get, keys))
+    if gaps := [i for i, x in enumerate(found) if x is None]:
+        words.learn({keys[i] for i in gaps})
+        for i in gaps:
+            found[i] = words[keys[i]]
+    found.append(END_ID.to_bytes(4, "little"))
+    ids = np.frombuffer(b"".join(found), "<u4")
+    size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+    origin = np.cumsum(size) - size
+    # an end token as the last word of each text
+    last = np.cumsum(counts)
+    kind = np.insert(kind, last, len(found) - 1)
+    stops = np.insert(STOP[np.frombuffer(data, np.uint8)[end - 1]], last, False)
+    until = np.cumsum(size[kind])
+    flat = ids[np.arange(until[-1]) + np.repeat(origin[kind] - until + size[kind], size[kind])].tobytes()
+    last += np.arange(len(last))
+    begins = np.concatenate([[0], until[last][:-1]])
+    places, before = until[stops], 0
+    bounds = np.searchsorted(np.flatnonzero(stops), last)
+    for i, (start, stop) in enumerate(zip(begins.tolist(), until[last].tolist())):
+        ends = np.unique(np.append(places[before:bounds[i]] - start, stop - start - 1))
+        before = bounds[i]
+        ends = ends[ends > 0]
+        steps = np.diff(ends, prepend=0)
+        costs = np.full(len(ends), CUT_DOCUMENT)
+        if len(steps) and steps.max() > PIECE:
+            inner = [np.arange(e - n + PIECE, e, PIECE) for e, n in zip(ends, steps) if n > PIECE]
+            at = np.concatenate([ends, *inner])
+            costs = np.concatenate([costs, np.full(len(at) - len(ends), CUT_SENTENCE)])
+            order = np.argsort(at, kind="stable")
+            ends, costs = at[order], costs[order]
+        yield flat[start * 4:stop * 4], [*ends.tolist(), stop - start], [*costs.tolist(), 0]
 
 
 def cuts(ends: list[int], costs: list[int], window: int = WINDOW) -> list[int]:
