@@ -1,0 +1,386 @@
+"""The operators on documents against plain Python, and on odd and empty tables."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pyspark.sql.functions as F
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from tillflow.llm import language, mixing, near_copies, packing, quality, repeats, secret_scan, simhash, suffix_tree
+
+from .conftest import documents
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def crc(i):
+    return zlib.crc32(str(i).encode())
+
+
+# ---- languages ------------------------------------------------------------------------------------------------------
+
+
+def test_language_of_held_out_texts(docs):
+    found = language.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in found if crc(r.doc_id) % 3 == 1}
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97 and all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_odd_and_empty(spark, odd, empty):
+    found = language.languages(odd).collect()
+    assert len(found) == odd.count()
+    assert all((r.lang_pred == "und") == (r.score == 0) for r in found)
+    assert language.languages(empty).count() == 0
+    unlabelled = documents(spark, ["some text"]).withColumn("lang", F.lit(None).cast("string"))
+    assert [r.lang_pred for r in language.languages(unlabelled).collect()] == ["und"]
+    assert language.accepted(odd).columns == odd.columns
+
+
+# ---- packing --------------------------------------------------------------------------------------------------------
+
+
+def check_packing(rows, texts):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id].append(r)
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    for i, text in texts.items():
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        at = 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[at:at + r.length]))
+            at += r.length
+        assert at == len(ids)
+    return sum(r.length for r in rows) / (len(sequences) * packing.WINDOW)
+
+
+def test_packing_is_whole_with_little_padding(docs, texts):
+    assert check_packing(packing.pack(docs, TOKENIZER).collect(), texts) > 0.93
+
+
+def test_packing_odd_and_empty(spark, odd, empty):
+    whole = documents(spark, [r.text for r in odd.collect()])
+    check_packing(packing.pack(whole, TOKENIZER).collect(), {r.doc_id: r.text for r in whole.collect()})
+    assert packing.pack(odd, TOKENIZER).groupBy().agg(F.sum("length")).first()[0] == packing.pack(whole, TOKENIZER).groupBy().agg(F.sum("length")).first()[0]
+    assert packing.pack(empty, TOKENIZER).count() == 0
+
+
+def test_cuts_cost_least():
+    draw = random.Random(3)
+    for _ in range(200):
+        ends, at = [], 0
+        for _ in range(draw.randint(1, 9)):
+            at += draw.randint(1, 9)
+            ends.append(at)
+        costs = [draw.choice([0, 1, 3]) for _ in ends[:-1]] + [0]
+
+        def cost(chosen):
+            before = [0, *[ends[j] for j in chosen]]
+            return sum(10 - (b - a) + costs[j] for a, b, j in zip(before, before[1:], chosen)) if all(b - a <= 10 for a, b in zip(before, before[1:])) else math.inf
+        every = [[j for j in range(len(ends) - 1) if mask >> j & 1] + [len(ends) - 1] for mask in range(1 << (len(ends) - 1))]
+        assert cost(packing.cuts(ends, costs, 10)) == min(map(cost, every))
+
+
+# ---- suffix tree ----------------------------------------------------------------------------------------------------
+
+
+def test_suffix_tree_counts_and_beats_the_base(docs, texts):
+    tokens = {i: words(t) + [b"\n"] for i, t in texts.items()}
+    counts = Counter(w for i, t in tokens.items() if crc(i) % 7 != 2 for w in t)
+    n, v = sum(counts.values()), len(counts)
+    rows = suffix_tree.score(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        t = tokens[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (crc(r.doc_id) % 7 == 2, len(t), sum(w in counts for w in t), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_suffix_tree_equals_counting(spark):
+    """A corpus with a repeated phrase, scored by the formula directly."""
+    phrase = "alpha beta gamma delta"
+    texts = [f"{phrase} w{i}" for i in range(40)] + [f"u{i} v{i}" for i in range(40)] + ["p x aa" if i % 2 else "q x bb" for i in range(60)]
+    rows = {r.doc_id: r for r in suffix_tree.score(documents(spark, texts)).collect()}
+    train = [words(t) + [b"\n"] for i, t in enumerate(texts) if crc(i) % 7 != 2]
+    one = Counter(w for t in train for w in t)
+    n, v = sum(one.values()), len(one)
+    two = Counter((a, b) for t in train for a, b in zip(t, t[1:]))
+    three = Counter((a, b, c) for t in train for a, b, c in zip(t, t[1:], t[2:]))
+    def root(x):
+        return (one[x] + 1) / (n + v + 1)
+
+    def table(successors, totals, suffix):
+        kept, out = defaultdict(dict), {}
+        for run, c in successors.items():
+            if c >= 2:
+                kept[run[:-1]][run[-1]] = c
+        for s, xs in kept.items():
+            gain = sum(c * math.log(c / totals(s) / suffix(s, x)) for x, c in xs.items())
+            if gain >= suffix_tree.GAIN * len(xs):
+                out[s] = (xs, totals(s))
+        return out
+
+    def predicted(states, s, x, lower):
+        if s not in states:
+            return lower
+        xs, total = states[s]
+        return (xs.get(x, 0) + (total - sum(xs.values()) + 1) * lower) / (total + 1)
+    first = table(two, lambda s: one[s[0]], lambda s, x: root(x))
+    second = table(three, lambda s: two[s], lambda s, x: predicted(first, s[1:], x, root(x)))
+    for i, t in enumerate(texts):
+        t, score = words(t) + [b"\n"], 0.0
+        for k, x in enumerate(t):
+            p = root(x)
+            if k >= 1:
+                p = predicted(first, (t[k - 1],), x, p)
+            if k >= 2:
+                p = predicted(second, (t[k - 2], t[k - 1]), x, p)
+            score += math.log10(p)
+        assert math.isclose(rows[i].score, score, rel_tol=1e-9)
+    assert first and second
+
+
+def test_suffix_tree_odd_and_empty(odd, empty):
+    assert suffix_tree.score(odd).count() == odd.count()
+    assert suffix_tree.score(empty).count() == 0
+
+
+# ---- repeats --------------------------------------------------------------------------------------------------------
+
+
+def removed(texts):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(t[p:p + 200] for t in data for p in range(len(t) - 199))
+    out = []
+    for t in data:
+        gone = bytearray(len(t))
+        for p in range(len(t) - 199):
+            if seen[t[p:p + 200]] > 1:
+                gone[p:p + 200] = b"\1" * 200
+        kept = bytes(c for c, g in zip(t, gone) if not g)
+        runs = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
+        out.append((len(t), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [repeats.CROWDED, 2])
+def test_repeats_equal_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CROWDED", crowd)
+    draw = random.Random(1)
+    def noise(n):
+        return "".join(draw.choice("abcdef gé") for _ in range(n))
+    shared, line = noise(700), noise(150)
+    texts = [noise(300) + shared + noise(300), shared[100:450], noise(40) + shared[:260] + noise(90), "x" * 900, noise(100) + "x" * 450, "ab" * 300, None, "",
+             noise(199), noise(200), "one two " * 60] + [noise(150) + line + noise(150) for _ in range(8)] + [shared, shared]
+    rows = repeats.remove(documents(spark, texts)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == dict(enumerate(removed(texts)))
+
+
+def test_repeats_odd_and_empty(odd, empty):
+    got = sorted(tuple(r)[1:] for r in repeats.remove(odd).collect())
+    texts = [r.text for r in odd.collect() if len(r.text or "") < 10_000]
+    assert [g for g in got if g[0] < 10_000] == sorted(removed(texts))
+    assert repeats.remove(empty).count() == 0
+
+
+# ---- secrets --------------------------------------------------------------------------------------------------------
+
+
+def test_secrets_found_and_masked(spark):
+    h = [hashlib.md5(str(i).encode()).hexdigest() for i in range(6)]
+    secrets = [f"my password={h[0][:18]} here", f'token = "{h[1]}{h[2][:8]}" end', "use AKIA" + "Q7ZK3MVP2XWR5TBN please"]
+    clean = ["call 4785380592391139 now", f"commit {h[3]}{h[3][:8]}", "see thebluehouse-and-thegarden-2 there", "mail loogm.24@mail6.example.com", "nothing", "", None]
+    docs = documents(spark, secrets + clean)
+    found = secret_scan.findings(docs).collect()
+    assert {r.doc_id for r in found if r.is_secret} == {0, 1, 2}
+    first = next(r for r in found if r.doc_id == 0)
+    assert (first.start, first.length, first.value_sha256) == (12, 18, hashlib.sha256(h[0][:18].encode()).hexdigest())
+    out = {r.doc_id: r for r in secret_scan.redacted(docs).collect()}
+    assert out[0].text == "my password=[SECRET] here" and out[0].n_chars == len(out[0].text)
+    assert {i: out[i].text for i in range(3, 10)} == {i + 3: t for i, t in enumerate(clean)}
+
+
+def test_secrets_odd_and_empty(odd, empty):
+    assert secret_scan.findings(odd).columns == ["doc_id", "start", "length", "value_sha256", "score", "is_secret"]
+    assert secret_scan.redacted(odd).count() == odd.count() and secret_scan.redacted(odd).columns == odd.columns
+    assert secret_scan.findings(empty).count() == 0 and secret_scan.redacted(empty).count() == 0
+
+
+# ---- SimHash and near copies ----------------------------------------------------------------------------------------
+
+
+def fingerprint(text):
+    w = words(text)
+    runs = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    h = [xxhash.xxh64_intdigest(s, 42) for s in runs]
+    return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
+def roots(ids, linked):
+    of = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in linked:
+            low = min(of[a], of[b])
+            changed |= of[a] != low or of[b] != low
+            of[a] = of[b] = low
+    return of
+
+
+def test_simhash_equals_brute_force(spark, docs, texts):
+    more = dict(texts)
+    base = max(texts.values(), key=lambda t: 300 < len(t.split()) < 900 and len(t))
+    for k in range(6):  # small edits of one text make close fingerprints
+        w = base.split()
+        w[7 * k + 3] = f"edit{k}"
+        more[1000 + k] = " ".join(w)
+    more |= {2000: "", 2001: None, 2002: "one", 2003: "one two"}
+    table = spark.createDataFrame(list(more.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.near_duplicates(table).collect()}
+    prints = {i: fingerprint(t) for i, t in more.items()}
+    assert {i: int(r.fingerprint, 16) for i, r in got.items()} == prints
+    items = sorted(prints.items())
+    linked = [(a, b) for k, (a, x) in enumerate(items) for b, y in items[k + 1:] if (x ^ y).bit_count() <= 2]
+    assert {i: r.component_id for i, r in got.items()} == roots(more, linked)
+
+
+def test_links_reach_every_pair_of_two_bits(spark):
+    draw = random.Random(2)
+    centre = [draw.getrandbits(63) for _ in range(30)]
+    fps = sorted({c ^ (1 << draw.randrange(63)) ^ (1 << draw.randrange(63)) for c in centre for _ in range(6)} | set(centre))
+    found = [tuple(r) for r in simhash.ball_links(spark.createDataFrame([(f,) for f in fps], "fp long")).select("a", "b").collect()]
+    brute = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if (a ^ b).bit_count() <= 2]
+    assert set(found) <= set(brute) and roots(fps, found) == roots(fps, brute)
+    named = {r.node: r.root for r in simhash.components(spark.createDataFrame(found, "a long, b long")).collect()}
+    assert named == {k: v for k, v in roots(fps, brute).items() if k in named}
+
+
+def test_simhash_odd_and_empty(odd, empty):
+    assert simhash.near_duplicates(odd).count() == odd.count()
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_one_of_each_group_of_near_copies_stays(spark):
+    draw = random.Random(5)
+    def text(n):
+        return [f"w{draw.randrange(5000)}" for _ in range(n)]
+    plain = [text(300) for _ in range(20)]
+    copies = []
+    for k in range(10):
+        edited = list(plain[k])
+        for at in draw.sample(range(300), 3):
+            edited[at] = "other"
+        copies.append(edited)
+    far = [plain[11][:150] + text(150)]
+    texts = [" ".join(t) for t in plain + copies + far] + [" ".join(plain[0]), " ".join(plain[0]).upper(), "", None, "tiny", "tiny"]
+    stay = {r.doc_id for r in near_copies.kept(documents(spark, texts)).collect()}
+    assert stay == {*range(20), 30, 33, 35}
+
+
+def test_near_copies_odd_and_empty(odd, empty):
+    out = near_copies.kept(odd)
+    assert out.columns == odd.columns and out.count() == len({b" ".join(words(r.text)) for r in odd.collect()})
+    assert near_copies.kept(empty).count() == 0
+
+
+# ---- mixing ---------------------------------------------------------------------------------------------------------
+
+
+def wanted(sizes):
+    """Targets by sharing again and again what is above three times a source's size."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    target, free, rest = {}, set(order), float(sum(sizes.values()))
+    while free:
+        share = {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 3 * sizes[s]}
+        if not over:
+            return target | share
+        target |= {s: 3.0 * sizes[s] for s in over}
+        rest -= sum(3 * sizes[s] for s in over)
+        free -= over
+    return target
+
+
+def test_mixing_meets_its_targets(docs):
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count() and rows and sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix(docs).collect()))
+    held = Counter()
+    for r in rows:
+        held[r.source] += r.size
+    target = wanted(held)
+    for source in held:
+        mine = [r for r in rows if r.source == source]
+        assert all(math.isclose(r.target, target[source], rel_tol=1e-9) and 0 <= r.taken <= 3 * r.size for r in mine)
+        assert abs(sum(r.taken for r in mine) - target[source]) <= max(2 * mixing.BLOCK_WORDS, 0.03 * target[source])
+
+
+def test_apportionment_gives_the_highest_quotients(spark):
+    draw = random.Random(9)
+    rows = [(g, i, draw.randint(0, 1000), 5 + 20 * g) for g in range(4) for i in range(9)]
+    table = spark.createDataFrame(rows, "g int, i int, votes long, seats long")
+    got = {(r.g, r.i): r.won for r in mixing.apportion(table, ["g"], "votes", F.col("seats"), ["i"], "won").collect()}
+    for g in range(4):
+        mine = {i: v for gg, i, v, _ in rows if gg == g}
+        best = sorted(((-v / (2 * k + 1), i, k) for i, v in mine.items() if v for k in range(100)))[: 5 + 20 * g]
+        won = Counter(i for _, i, _ in best)
+        assert {i: got[g, i] for i in mine} == {i: won[i] for i in mine}
+
+
+def test_mixing_odd_and_empty(odd, empty):
+    assert mixing.mix(odd).count() == odd.count()
+    assert mixing.mix(empty).count() == 0
+    assert mixing.repeated(odd).columns == odd.columns and mixing.repeated(empty).count() == 0
+
+
+# ---- quality --------------------------------------------------------------------------------------------------------
+
+
+def test_quality_of_held_out_texts(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.score(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    assert all(r.held_out == (crc(r.doc_id) % 4 == 2) for r in rows)
+    assert sum(truth[r.doc_id] == r.predicted for r in held) / len(held) > 0.95
+
+
+def test_quality_odd_and_empty(spark, odd, empty):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)] + [(None, 1, 0), (3, None, 0), (3, 1, 1), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    assert quality.score(odd, labels).count() == odd.count()
+    assert quality.score(empty, labels).count() == 0
+    assert {r.score for r in quality.score(documents(spark, ["a b", None]), labels.limit(0)).collect()} == {0.5}
