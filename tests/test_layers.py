@@ -102,6 +102,10 @@ def test_sums_do_not_depend_on_order_and_keep_large_amounts(spark):
     total = spark.createDataFrame([(v,) for v in values], "x double").agg(exact_sum(F.col("x"))).first()[0]
     assert total == 1e15 + 1.2
     assert spark.createDataFrame([(None,)], "x double").agg(exact_sum(F.col("x"))).first()[0] is None
+    small = spark.range(1000).agg(exact_sum(F.lit(0.00004))).first()[0]
+    large = spark.range(2000).agg(exact_sum(F.lit(8e11))).first()[0]
+    assert (small, large) == (0.04, 1.6e15)
+    assert math.isnan(spark.createDataFrame([(1.0,), (float("nan"),)], "x double").agg(exact_sum(F.col("x"))).first()[0])
 
 
 def test_hourly_uses_last_present_hour_and_skips_zero(spark):

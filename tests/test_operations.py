@@ -41,7 +41,8 @@ def test_summary_and_mark(spark):
     assert (r.pages_fetched, r.valid_records, r.invalid_records, r.status, r.watermark.day) == (1, 1, 1, "success", 3)
     empty = dimension.run_summary(frame.limit(0)).first()
     assert (empty.pages_fetched, empty.valid_records, empty.status, empty.watermark) == (0, 0, "no_data", None)
-    assert dimension.newer_than(frame, "2024-01-03T00:00:00+00:00").count() == 1
+    assert dimension.newer_than(frame, "2024-01-03T00:00:00+00:00").count() == 2  # a tie with the mark is taken
+    assert dimension.newer_than(frame, "2024-01-03T00:00:01+00:00").count() == 1
     assert dimension.newer_than(frame, None).count() == 2
 
 
@@ -51,10 +52,10 @@ def write_pages(path, pages):
     (path / f"{len(list(path.iterdir()))}.json").write_text("\n".join(lines) + "\n")
 
 
-def test_feed_ends_at_the_first_empty_page(spark, tmp_path):
-    write_pages(tmp_path, {1: [product("A")], 2: [product("B")], 3: [], 4: [product("D")]})
-    assert {r.page for r in readers.read_pages(spark, str(tmp_path)).collect()} == {1, 2}
-    assert {r.page for r in readers.read_pages(spark, str(tmp_path), max_pages=1).collect()} == {1}
+def test_all_landed_pages_are_read(spark, tmp_path):
+    write_pages(tmp_path, {1: [product("A")], 2: [product("B")], 3: []})
+    write_pages(tmp_path, {1: [product("C")], 2: [product("D")], 3: [product("E")], 4: []})
+    assert sorted(r.page for r in readers.read_pages(spark, str(tmp_path)).collect()) == [1, 1, 2, 2, 3]
 
 
 def test_dimension_runs_move_the_mark(spark, tmp_path):
@@ -62,11 +63,11 @@ def test_dimension_runs_move_the_mark(spark, tmp_path):
     write_pages(feed, {1: [product("A", 1, 3), product("B", -1, 9)]})
     assert run_dimension(spark, root, str(feed))["valid_records"] == 1
     assert writers.load_mark(spark, f"{root}/product_dimension/_mark").startswith("2024-01-03")
-    assert run_dimension(spark, root, str(feed))["status"] == "no_data"  # nothing newer than the mark but the invalid row
+    assert run_dimension(spark, root, str(feed))["valid_records"] == 1  # a change at the mark is taken again
     write_pages(feed, {2: [product("A", 7, 5), product("C", 2, 6)]})
-    assert run_dimension(spark, root, str(feed))["valid_records"] == 2
+    assert run_dimension(spark, root, str(feed))["valid_records"] == 3
     version, table = current_version(spark, root)
-    assert version == 2 and {r.sku: r.unit_price for r in table.collect()} == {"A": 7.0, "C": 2.0}
+    assert version == 3 and {r.sku: r.unit_price for r in table.collect()} == {"A": 7.0, "C": 2.0}
     assert spark.read.parquet(f"{root}/quarantine/sku_api").select("sku").distinct().count() == 1
 
 

@@ -11,4 +11,5 @@ def event_time(text: Column) -> Column:
 
 
 def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """The instant in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")

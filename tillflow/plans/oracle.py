@@ -333,7 +333,7 @@ ORACLE: dict[str, str] = {
         SELECT 'retail.pos.events' AS _kafka_topic, COUNT(*) AS measured, quantile_disc(s, 0.5) AS p50, quantile_disc(s, 0.95) AS p95,
                quantile_disc(s, 0.99) AS p99 FROM waits""",
     "sku_incremental": f"""WITH {PRODUCTS} SELECT sku, unit_price, strftime(changed, '%Y-%m-%d') || 'T00:00:00+00:00' AS updated_at
-        FROM prod WHERE changed > DATE '2024-01-31'""",
+        FROM prod WHERE changed >= DATE '2024-01-31'""",
     "sku_run_summary": f"""WITH {PRODUCTS} SELECT COUNT(DISTINCT page) AS pages_fetched, COUNT(*) FILTER (WHERE p % 37 <> 0) AS valid_records,
         COUNT(*) FILTER (WHERE p % 37 = 0) AS invalid_records, CAST(MAX(changed) FILTER (WHERE p % 37 <> 0) AS TIMESTAMP) AS watermark,
         'success' AS status FROM prod""",

@@ -11,9 +11,9 @@ from pyspark.sql import SparkSession
 MIB = 1024 * 1024
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * MIB, floor: int = 8, ceiling: int = 100_000) -> int:
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * MIB, floor: int = 8) -> int:
     """Shuffle partitions so that one holds about ``target_bytes``; AQE merges the small ones afterwards."""
-    return max(floor, min(ceiling, math.ceil(input_bytes / target_bytes)))
+    return max(floor, math.ceil(input_bytes / target_bytes))
 
 
 def get_spark(app: str = "tillflow", master: str | None = None, input_bytes: int | None = None, **conf: str) -> SparkSession:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,16 +20,6 @@ def or_none(read, *args, **kwargs) -> DataFrame | None:
         raise
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan over at least as many tasks as the session has cores.
-
-    One file with a single row group is read by one task, and so is all the parsing that follows it. Such a small scan
-    is dealt out to the cores; a scan with enough splits, as on any large table, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_raw(spark: SparkSession, root: str, source: str) -> DataFrame:
     """Landed raw rows of one source, whatever folder layout is below the topic."""
     return (spark.read.schema(RAW[source]).option("recursiveFileLookup", "true")
@@ -102,22 +94,19 @@ def count_by_file(spark: SparkSession, path: str, prefix: Column) -> DataFrame:
 def layer_rows(spark: SparkSession, root: str, layers: list[str]) -> DataFrame:
     """One row per record of every layer with ``layer, file``.
 
-    The layers hold different tables; a schema none of them has makes Spark count rows from the footers alone.
+    Each layer is read from its own folder, so names further up or down the path do not matter. The layers hold different
+    tables; a schema none of them has makes Spark count rows without reading columns.
     """
-    paths = [f"{root}/{layer}" for layer in layers]
-    rows = spark.read.schema("_any string").option("recursiveFileLookup", "true").parquet(*paths)
-    below = F.regexp_extract(F.col("_metadata.file_path"), "/(" + "|".join(layers) + ")/", 1)
-    return rows.select(below.alias("layer"), F.col("_metadata.file_path").alias("file"))
+    def rows(layer: str) -> DataFrame:
+        read = spark.read.schema("_any string").option("recursiveFileLookup", "true").parquet(f"{root}/{layer}")
+        return read.select(F.lit(layer).alias("layer"), F.col("_metadata.file_path").alias("file"))
+    return reduce(DataFrame.unionByName, map(rows, layers))
 
 
-def read_pages(spark: SparkSession, path: str, max_pages: int | None = None) -> DataFrame:
-    """Landed product pages ``{"page": n, "data": [...]}`` as one product per row (``page, record``).
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """All landed product pages ``{"page": n, "data": [...]}`` as one product per row (``page, record``).
 
-    The feed ends at its first empty page, or after ``max_pages``.
+    An empty page ends a feed for the client that fetches it; what has landed, of this run or of later ones, is all read.
     """
     pages = spark.read.schema("page int, data array<string>").option("recursiveFileLookup", "true").json(path)
-    empty = pages.where(F.coalesce(F.size("data"), F.lit(0)) <= 0).agg(F.min("page")).scalar()
-    kept = pages.where(empty.isNull() | (F.col("page") < empty))
-    if max_pages is not None:
-        kept = kept.where(F.col("page") <= max_pages)
-    return kept.select("page", F.explode("data").alias("record"))
+    return pages.select("page", F.explode("data").alias("record"))

@@ -8,23 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.documents import is_json_object
 from ..functions.instants import iso_text
-from ..schemas import DLQ_INVENTORY, DLQ_POS, EVENT_COLUMNS, FLUSH_RECORDS, TOPICS
+from ..schemas import DLQ_INVENTORY, DLQ_POS, EVENT_COLUMNS, TOPICS
 
 ENVELOPE = "key string, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
 
-def kafka_options(servers: str, topics: Sequence[str] = tuple(TOPICS.values()), per_trigger: int = FLUSH_RECORDS) -> dict[str, str]:
-    return {
+def kafka_options(servers: str, topics: Sequence[str] = tuple(TOPICS.values()), per_trigger: int | None = None) -> dict[str, str]:
+    """``per_trigger`` limits the messages of a batch; without it a batch takes all there are."""
+    limit = {} if per_trigger is None else {"maxOffsetsPerTrigger": str(per_trigger)}
+    return limit | {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(per_trigger),
         "failOnDataLoss": "true",
     }
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str] = tuple(TOPICS.values()),
-               per_trigger: int = FLUSH_RECORDS) -> DataFrame:
+               per_trigger: int | None = None) -> DataFrame:
     """Stream of envelopes from Kafka; needs Spark's Kafka connector on the class path."""
     stream = spark.readStream.format("kafka").options(**kafka_options(servers, topics, per_trigger)).load()
     return stream.select(F.col("key").cast("string").alias("key"), "value", "topic", "partition", "offset", "timestamp")
@@ -41,14 +42,23 @@ def decode(envelopes: DataFrame) -> DataFrame:
     return envelopes.withColumn("text", text).withColumn("is_event", is_json_object(F.col("text")))
 
 
+def other_events(decoded: DataFrame, topics: Sequence[str], ingested_at: Column | None = None) -> DataFrame:
+    """Events of all topics but these: the whole event as text, and the ingestion columns."""
+    stamp = ingested_at if ingested_at is not None else F.current_timestamp()
+    return decoded.where(F.col("is_event") & (F.col("topic").isNull() | ~F.col("topic").isin(list(topics)))).select(
+        F.col("text").alias("_event_text"), iso_text(stamp).alias("_ingestion_ts"), F.col("topic").alias("_kafka_topic"),
+        F.col("partition").alias("_kafka_partition"), F.col("offset").alias("_kafka_offset"))
+
+
 def events_of(decoded: DataFrame, source: str, ingested_at: Column | None = None) -> DataFrame:
-    """Raw rows of one source: business columns, nested parts as JSON text, and the ingestion columns."""
+    """Raw rows of one source: business columns, nested parts as JSON text, the whole event as text beside them, so that
+    fields without a column and values of another type are kept, and the ingestion columns."""
     event = F.from_json("text", EVENT_COLUMNS[source])
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
     return decoded.where("is_event").select(
-        event.alias("_event"), iso_text(stamp).alias("_ingestion_ts"), F.col("topic").alias("_kafka_topic"),
+        event.alias("_event"), F.col("text").alias("_event_text"), iso_text(stamp).alias("_ingestion_ts"), F.col("topic").alias("_kafka_topic"),
         F.col("partition").alias("_kafka_partition"), F.col("offset").alias("_kafka_offset"),
-    ).select("_event.*", "_ingestion_ts", "_kafka_topic", "_kafka_partition", "_kafka_offset")
+    ).select("_event.*", "_event_text", "_ingestion_ts", "_kafka_topic", "_kafka_partition", "_kafka_offset")
 
 
 def dlq_topic(topic: Column) -> Column:
