@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from tests.compare import connect, difference
+from tillflow.llm.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,6 +34,11 @@ def test_every_operator_is_registered():
     assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in entry.queries()
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_equal_their_sql(spark, name):
+    assert difference(entry.queries()[name](spark, SF), connect(SF), entry.oracle_sql()[name]) is None
+
+
 @pytest.mark.parametrize("name", ["op6_secrets", "pipeline"])
 def test_registered_queries_run(spark, name):
     assert entry.queries()[name](spark, SF).count() >= 0
