@@ -445,6 +445,22 @@ def stream_decode_split(spark, sf_dir):
         F.col("original_offset").alias("offset"), F.lit(None).cast("string").alias("event_id")))
 
 
+@query
+def landing_lossless(spark, sf_dir):
+    """Events with an unknown field, a number as id and a text as quantity, on a known topic and on one nobody has named."""
+    root = scratch_dir(spark, "lossless")
+    n = F.col("n")
+    text = F.concat(F.lit('{"event_id":'), n.cast("string"), F.lit(',"quantity_on_hand":"many","extra":{"store":"'), F.col("store_id"), F.lit('"}}'))
+    topic = F.when(n % 2 == 0, "retail.returns.events").otherwise("retail.inventory.events")
+    inputs.events(spark, sf_dir).select(
+        n.cast("string").alias("key"), text.cast("binary").alias("value"), topic.alias("topic"), (n % 6).cast("int").alias("partition"),
+        n.cast("long").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp")).write.parquet(f"{root}/topics")
+    _run(landing.land_raw(envelope.read_files(spark, f"{root}/topics"), root, f"{root}/_checkpoint", once=True))
+    landed = spark.read.schema("_kafka_topic string, _kafka_offset bigint, _event_text string").option("recursiveFileLookup", "true")
+    return landed.parquet(f"{root}/raw", f"{root}/raw_other").select(
+        F.col("_kafka_topic").alias("topic"), F.col("_kafka_offset").alias("offset"), F.col("_event_text").alias("event"))
+
+
 @query
 def dlq_route(spark, sf_dir):
     messages = None

@@ -345,6 +345,8 @@ ORACLE: dict[str, str] = {
         SELECT CASE WHEN {FAULTY} THEN 'dead' ELSE 'event' END AS kind, topic, part AS "partition", off AS "offset",
                CASE WHEN NOT {FAULTY} THEN CASE source WHEN 'pos' THEN 'POS-' WHEN 'inventory' THEN 'INV-' ELSE 'ECO-' END || n END AS event_id
         FROM messages""",
+    "landing_lossless": f"""WITH {EVENTS} SELECT CASE WHEN n % 2 = 0 THEN 'retail.returns.events' ELSE 'retail.inventory.events' END AS topic,
+        CAST(n AS BIGINT) AS "offset", '{{"event_id":' || n || ',"quantity_on_hand":"many","extra":{{"store":"' || store_id || '"}}}}' AS event FROM ev""",
     "dlq_route": f"""WITH {EVENTS}, messages AS ({per_topic(
         "SELECT n, off, k, store_id, '{topic}' AS topic, '{source}' AS source, CAST(n % {width} AS INTEGER) AS part FROM marked")})
         SELECT CASE WHEN source = 'pos' THEN 'retail.pos.dlq' ELSE 'retail.inventory.dlq' END AS dlq_topic, topic AS original_topic,
