@@ -32,7 +32,21 @@ def staged(df: DataFrame, purpose: str, tidy: bool = False) -> DataFrame:
     finally:
         if tidy:
             spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _STAGED[id(out)] = (out, path)
+    return out
+
+
+_STAGED: dict[int, tuple[DataFrame, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes staged tables that nothing will read again."""
+    for table in tables:
+        _, path = _STAGED.pop(id(table))
+        jvm, context = table.sparkSession._jvm, table.sparkSession.sparkContext
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def fold(column: str, parts: int, part: int) -> Column:

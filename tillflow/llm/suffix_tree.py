@@ -1,7 +1,7 @@
 """Scoring texts with a probabilistic suffix tree over tokens.
 
 Tokens are words (ASCII lower case) and one end per text. The root predicts by add-one counts. A context of one token, or of
-``DEPTH`` at most, becomes a state when its repeated successors diverge enough from what its suffix predicts: count times
+``DEPTH`` (two) at most, becomes a state when its repeated successors diverge enough from what its suffix predicts: count times
 divergence, in nats, must reach ``GAIN`` for each of them. A state predicts a successor by
 
     P(x | s) = (c(s, x) + (N(s) - C(s) + KAPPA) * P(x | suffix of s)) / (N(s) + KAPPA)
@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import fold, slices, staged, total_bytes
+from .shared import discard, fold, slices, staged, total_bytes
 
 DEPTH = 2
 GAIN, KAPPA = 8.0, 1.0
@@ -140,7 +140,7 @@ def token_counts(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def successor_counts(docs: DataFrame, depth: int, may_repeat, parts: int) -> DataFrame:
-    """s, x, n >= 2 and id for contexts of the depth; ``may_repeat`` rules out runs of that length that occur once."""
+    """s, x and n >= 2 for contexts of the depth; ``may_repeat`` rules out runs of that length that occur once."""
     def counted(s, x):
         ids = joined(s, x)
         at, n = summed(ids, np.ones(len(ids), np.int64))
@@ -165,9 +165,9 @@ def successor_counts(docs: DataFrame, depth: int, may_repeat, parts: int) -> Dat
         ids = joined(s, x)
         at, n = summed(ids, taken(table, "ns", np.int64))
         at, n = at[n >= 2], n[n >= 2]
-        return pa.table([_long(s[at]), _long(x[at]), pa.array(n), _long(ids[at])], ["s", "x", "n", "id"])
+        return pa.table([_long(s[at]), _long(x[at]), pa.array(n)], ["s", "x", "n"])
     sent = docs.select("text").mapInArrow(run, "part long, ss binary, xs binary, ns binary")
-    return sent.groupBy("part").applyInArrow(merge, "s long, x long, n long, id long")
+    return sent.groupBy("part").applyInArrow(merge, "s long, x long, n long")
 
 
 def _with_id(pairs: DataFrame, column: str, a: str, b: str) -> DataFrame:
@@ -181,42 +181,52 @@ def _with_id(pairs: DataFrame, column: str, a: str, b: str) -> DataFrame:
 
 
 def states(pairs: DataFrame) -> DataFrame:
-    """s, x, id, a and lam of the contexts that pass the divergence test; ``pairs`` has s, x, id, n, total and p."""
+    """s, x, n, total and c (its repeated successors' sum) of the contexts that pass the divergence test; ``pairs`` has p too."""
     gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p")))
     test = pairs.groupBy("s").agg(gain.alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("c"))
-    test = test.where(F.col("gain") >= GAIN * F.col("kinds")).select("s", "c")
-    whole = F.col("total") + KAPPA
-    return pairs.join(test, "s").select("s", "x", "id", (F.col("n") / whole).alias("a"), ((F.col("total") - F.col("c") + KAPPA) / whole).alias("lam"))
+    return pairs.join(test.where(F.col("gain") >= GAIN * F.col("kinds")).select("s", "c"), "s").select("s", "x", "n", "total", "c")
 
 
 def model(docs: DataFrame, parts: int) -> tuple[DataFrame, int, int]:
-    """(key, n, lam, a): counts of tokens, weights of states' suffixes, and shares of their successors; then N and V."""
+    """(key, n, lam, a): counts of tokens, weights of states' suffixes, and shares of their successors; then N and V.
+
+    Tables between the steps hold counts instead of probabilities, which take less room, and go when they have been used.
+    """
     words = staged(token_counts(docs, parts), "tree-tokens", tidy=True)
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    root = ((F.col("nx") + 1) / F.lit(float(total + kinds + 1))).alias("root")
+    root = (F.col("nx") + 1) / F.lit(float(total + kinds + 1))
+    share, rest = F.col("n") / (F.col("total") + KAPPA), (F.col("total") - F.col("c") + KAPPA) / (F.col("total") + KAPPA)
+    counts = lambda name, n: words.select(F.col("key").alias(name), F.col("n").alias(n))
+
+    pairs = staged(successor_counts(docs, 1, bitmap(words.where("n >= 2").select("key")), parts), "tree-pairs", tidy=True)
+    rows = staged(pairs.join(counts("x", "nx"), "x").join(counts("s", "total"), "s").select("s", "x", "n", "nx", "total"), "tree-rows", tidy=True)
+    one = staged(_with_id(states(rows.withColumn("p", root)), "id", "s", "x"), "tree-states", tidy=True)
+    discard(rows)
+    levels = [one]
+    if DEPTH > 1:
+        # a pair that occurs twice is a context of the next depth; its suffix drops the first token
+        before = staged(_with_id(pairs, "key", "s", "x").select("key", F.col("n").alias("total"), F.col("x").alias("suffix")), "tree-runs", tidy=True)
+        discard(pairs)
+        pairs = staged(successor_counts(docs, 2, bitmap(before.select("key")), parts), "tree-pairs", tidy=True)
+        rows = pairs.join(counts("x", "nx"), "x").join(before.withColumnRenamed("key", "s"), "s").select("s", "x", "n", "nx", "total", "suffix")
+        rows = staged(_with_id(rows, "sx", "suffix", "x"), "tree-rows", tidy=True)
+        discard(pairs, before)
+        # what the suffix, a context of the depth before, predicts
+        seen = staged(rows.join(one.select(F.col("id").alias("sx"), share.alias("sa")), "sx", "left").drop("sx"), "tree-rows", tidy=True)
+        discard(rows)
+        weights = one.select(F.col("s").alias("suffix"), rest.alias("sl")).distinct()
+        p = F.coalesce("sa", F.lit(0.0)) + F.coalesce("sl", F.lit(1.0)) * root
+        rows = staged(seen.join(weights, "suffix", "left").select("s", "x", "n", "total", p.alias("p")), "tree-rows", tidy=True)
+        discard(seen)
+        levels.append(staged(_with_id(states(rows), "id", "s", "x"), "tree-states", tidy=True))
+        discard(rows)
+    else:
+        discard(pairs)
     none = lambda kind: F.lit(None).cast(kind)
-    tables = [words.select("key", "n", none("double").alias("lam"), none("double").alias("a"))]
-    before, known = words, None  # runs of the depth before, and its states
-    for depth in range(1, DEPTH + 1):
-        may = bitmap(before.where("n >= 2").select("key"))
-        pairs = staged(successor_counts(docs, depth, may, parts), "tree-pairs", tidy=True)
-        totals = before.select(F.col("key").alias("s"), F.col("n").alias("total"), *[c for c in ("suffix",) if depth > 1])
-        rows = pairs.join(words.select(F.col("key").alias("x"), F.col("n").alias("nx")), "x").select("s", "x", "id", "n", root).join(totals, "s")
-        if depth == 1:
-            rows = rows.withColumnRenamed("root", "p")
-        else:  # what the suffix, a context of the depth before, predicts
-            rows = staged(_with_id(rows, "sx", "suffix", "x"), "tree-suffixes", tidy=True)
-            rows = (rows.join(known.select(F.col("id").alias("sx"), F.col("a").alias("sa")), "sx", "left").drop("sx")
-                    .join(known.select(F.col("s").alias("suffix"), F.col("lam").alias("sl")).distinct(), "suffix", "left"))
-            rows = rows.select("s", "x", "id", "n", "total", (F.coalesce("sa", F.lit(0.0)) + F.coalesce("sl", F.lit(1.0)) * F.col("root")).alias("p"))
-        known = staged(states(rows), "tree-states", tidy=True)
-        tables += [known.select(F.col("s").alias("key"), none("long").alias("n"), "lam", none("double").alias("a")).distinct(),
-                   known.select(F.col("id").alias("key"), none("long").alias("n"), none("double").alias("lam"), "a")]
-        # a run that occurs twice is a context of the next depth; its suffix drops the first token
-        before = pairs.select(F.col("id").alias("key"), "n", F.col("x").alias("suffix")) if depth == 1 else before
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.unionByName(t)
+    every = words.select("key", "n", none("double").alias("lam"), none("double").alias("a"))
+    for known in levels:
+        every = every.unionByName(known.select(F.col("s").alias("key"), none("long").alias("n"), rest.alias("lam"), none("double").alias("a")).distinct())
+        every = every.unionByName(known.select(F.col("id").alias("key"), none("long").alias("n"), none("double").alias("lam"), share.alias("a")))
     return every, total, kinds
 
 
