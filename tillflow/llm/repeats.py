@@ -33,7 +33,8 @@ from .suffix_tree import bitmap
 
 WINDOW, STEP, KMER = 200, 40, 48
 SHARDS = 4
-CROWDED = 1000
+#: Different segments of one anchor that one task merges at most: some 6 MB of text.
+CROWDED = 20_000
 BUCKET_BYTES = 256 << 10
 SLICE_BYTES = 1 << 19
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -127,7 +128,7 @@ def interleaved(orders: list[np.ndarray], transforms: list[np.ndarray], rounds:
     ``transforms``: per shard the preceding symbol of each of its rows, 0 at a string's begin; the shard's rows are in order.
     """
     shard = np.repeat(np.arange(len(orders), dtype=np.int8), [len(o) for o in orders])
-    block = np.zeros(len(shard), np.int64)
+    block = np.zeros(len(shard), np.int32)
     common = np.full(len(shard), rounds, np.int8)
     common[:1] = 0
     preceding = np.empty(len(shard), np.int32)
@@ -141,7 +142,7 @@ def interleaved(orders: list[np.ndarray], transforms: list[np.ndarray], rounds:
         parted = np.zeros(len(shard), bool)
         parted[1:] = (symbol[1:] != symbol[:-1]) | ((came[1:] != came[:-1]) & (symbol[1:] > 0))
         common[parted & (common >= h)] = h - 1
-        block = np.cumsum(parted)
+        block = np.cumsum(parted, dtype=np.int32)
     rows = np.empty(len(shard), np.int64)
     for j, o in enumerate(orders):
         rows[shard == j] = o
@@ -154,11 +155,12 @@ def repeated_windows(parts: list[bytes]) -> list[np.ndarray]:
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])  # a part's rows are its positions and its end
     raw = np.frombuffer(b"\0".join([*parts, b""]), np.uint8)
     total = int((sizes + 1).sum())
-    part = np.repeat(np.arange(len(parts)), sizes + 1)
-    place = np.arange(total) - begins[part]
+    part = np.repeat(np.arange(len(parts), dtype=np.int32), sizes + 1)
+    place = (np.arange(total) - begins[part]).astype(np.int32)
     symbols = np.zeros(total + WINDOW, np.int32)
-    real = np.flatnonzero(place + STEP <= sizes[part])
+    real = np.flatnonzero(place <= sizes[part] - STEP)
     symbols[real] = np.unique(rolling(raw, STEP)[real], return_inverse=True)[1] + 1
+    del real
     rounds = WINDOW // STEP
     columns = [symbols[:total]]
     for k in range(1, rounds):  # behind the end of a string there is nothing
@@ -174,7 +176,7 @@ def repeated_windows(parts: list[bytes]) -> list[np.ndarray]:
     again = equal | np.r_[equal[1:], False]
     hit = np.zeros(total, bool)
     hit[rows[again]] = True
-    hit &= place + WINDOW <= sizes[part]
+    hit &= place <= sizes[part] - WINDOW
     return [hit[b:b + n - WINDOW + 1] for b, n in zip(begins.tolist(), sizes.tolist())]
 
 
