@@ -41,7 +41,7 @@ class Words(dict):
     the only one that ends a unit: so many of them can be encoded as one text and parted again.
     """
 
-    MOST = 1_500_000
+    MOST = 500_000
     TAIL = re.compile(r"(.*[^!-&(-/:-@\[-`{-~'])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
     def __init__(self, path: str):
