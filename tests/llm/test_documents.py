@@ -366,6 +366,19 @@ def test_mixing_odd_and_empty(odd, empty):
     assert mixing.repeated(odd).columns == odd.columns and mixing.repeated(empty).count() == 0
 
 
+def test_repeated_documents_keep_their_sources_words(spark):
+    """Long documents of a source all have shares near its own; each source's words still come near what the mix takes."""
+    source = {i: ["a", "b", "c", "d", "e"][0 if i < 300 else 1 + i % 4] for i in range(900)}
+    texts = [" ".join([f"w{i}"] * 400) for i in range(900)]
+    docs = documents(spark, texts, source=source)
+    kept, target = Counter(), {}
+    for r in mixing.repeated(docs).collect():
+        kept[r.source] += 400
+    for r in mixing.mix(docs).collect():
+        target[r.source] = r.target
+    assert {s: round(kept[s] / t, 1) for s, t in target.items() if abs(kept[s] / t - 1) > 0.15} == {}
+
+
 # ---- quality --------------------------------------------------------------------------------------------------------
 
 

@@ -110,9 +110,15 @@ def _extra(words: Column) -> Column:
 
 
 def repeated(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The documents, each as often as the mix takes its words, to the nearest whole copy; columns as they were."""
+    """The documents, each as often as the mix takes its words; columns as they were.
+
+    A part of a copy becomes a whole one with that part as its chance, by a seeded hash of the row's key: long documents, whose
+    shares are all near their source's, are not all rounded alike, and a source's kept words are expected to be those taken.
+    """
     taken = mix(docs, seed).groupBy("key").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_times"))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), "text").cast("binary"))
-    copies = F.when(F.round("_times") > 0, F.sequence(F.lit(1), F.round("_times").cast("int"))).otherwise(F.array().cast("array<int>"))
+    chance = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("copies"), "_key").cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    times = (F.floor("_times") + (chance < F.col("_times") - F.floor("_times")).cast("int")).cast("int")
+    copies = F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))
     return (docs.withColumn("_key", key).join(taken.withColumnRenamed("key", "_key"), "_key")
             .withColumn("_copy", F.explode(copies)).select(*[F.col(f"`{c}`") for c in docs.columns]))
