@@ -310,6 +310,18 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert stay == {*range(20), 30, 33, 35}
 
 
+@pytest.mark.parametrize("block", [256, 4])
+def test_all_texts_of_a_bucket_are_compared(spark, monkeypatch, block):
+    """Many different texts of equal fingerprints, each with one near copy: neither is next to the other nor first."""
+    draw = random.Random(8)
+    plain = [[f"w{draw.randrange(5000)}" for _ in range(200)] for _ in range(15)]
+    texts = [" ".join(t) for t in plain] + [" ".join(t[:90] + ["other"] + t[91:]) for t in plain]
+    signed = near_copies._signed
+    monkeypatch.setattr(near_copies, "BLOCK", block, raising=False)
+    monkeypatch.setattr(near_copies, "_signed", lambda d: signed(d).withColumn("fps", F.array(*[F.lit(0).cast("long")] * near_copies.TABLES)))
+    assert {r.doc_id for r in near_copies.kept(documents(spark, texts)).collect()} == set(range(15))
+
+
 def test_near_copies_odd_and_empty(odd, empty):
     out = near_copies.kept(odd)
     assert out.columns == odd.columns and out.count() == len({b" ".join(words(r.text)) for r in odd.collect()})

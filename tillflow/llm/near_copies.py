@@ -2,12 +2,12 @@
 
 A text's words (ASCII lower case) give ``TABLES`` 32-bit fingerprints of its two-word shingles, which scattered edits disturb
 less than longer ones. Each fingerprint emits its ball of half the radius, itself and its one-bit variants; texts that share a
-variant are candidates: each with its neighbour and with the first of the variant, so that a large group makes no more pairs
-than rows. Candidates whose fingerprints differ in more than ``FAR_BITS`` of all bits are dropped, the others are linked where
-the Jaccard similarity of their sets of five-word shingles is ``LEAST`` or more, and of each connected group the row with the
-smallest id stays. Texts of equal words are copies, those without words (null, empty) are one group of copies, texts of fewer
-words are one shingle. Of repeated rows one stays; a null id counts as larger than any other. An empty table gives an empty
-result; all columns are kept as they were.
+variant are candidates. Each is compared with its neighbour and with the first of the variant, and then with every other text of
+the variant that it is not connected with yet, so that a large group makes few pairs and none is left out. Texts are linked where
+the Jaccard similarity of their sets of five-word shingles is ``LEAST`` or more; only where the sizes of the sets rule that out
+are pairs not compared. Of each connected group the row with the smallest id stays. Texts of equal words are copies, those
+without words (null, empty) are one group of copies, texts of fewer words are one shingle. Of repeated rows one stays; a null id
+counts as larger than any other. An empty table gives an empty result; all columns are kept as they were.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from .simhash import components
 
 SHINGLE, LEAST = 5, 0.8
 PAIR, TABLES = 2, 6
-FAR_BITS = 44
+#: Nodes of a bucket that meet in one group.
+BLOCK = 256
 SLICE_BYTES = 1 << 18
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93)
 
@@ -60,19 +61,29 @@ def fingerprints(words: np.ndarray) -> np.ndarray:
     return np.packbits(np.concatenate(bits)[: 32 * TABLES] * 2 > len(pairs), bitorder="little").view(np.uint32).astype(np.int64)
 
 
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """Sorted 32-bit hashes of the five-word shingles."""
+    return np.unique(shingles(words, SHINGLE).astype(np.uint32))
+
+
+def set_size(words: np.ndarray) -> int:
+    return len(shingle_set(words))
+
+
 def _key(words: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(words.tobytes())
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), key (of its words), fps."""
+    """doc_id, th (hash of the text), key (of its words), size (of its shingle set), fps."""
     def run(batches):
         for batch in slices(batches, "text", SLICE_BYTES):
             words = [word_hashes(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array([_key(w) for w in words], pa.binary()),
-                                              pa.array([fingerprints(w) for w in words], pa.list_(pa.int64()))], ["doc_id", "th", "key", "fps"])
+                                              pa.array([set_size(w) for w in words], pa.int64()), pa.array([fingerprints(w) for w in words], pa.list_(pa.int64()))],
+                                             ["doc_id", "th", "key", "size", "fps"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, th long, key binary, fps array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, th long, key binary, size long, fps array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -85,7 +96,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 words = word_hashes(text)
                 if (key := _key(words)) not in seen:
                     seen.add(key)
-                    rows.append((key, np.unique(shingles(words, SHINGLE).astype(np.uint32)).tobytes()))
+                    rows.append((key, shingle_set(words).tobytes()))
             if len(seen) > 1 << 17:
                 seen.clear()
             if rows:
@@ -101,23 +112,47 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs a < b of node numbers that share a variant of a fingerprint, and differ little over all of them."""
+def buckets(nodes: DataFrame) -> DataFrame:
+    """n and each bucket it is in: the variants of its fingerprints."""
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(32)])
     each = nodes.select("n", F.posexplode("fps").alias("table", "fp"))
-    buckets = each.select("n", F.explode(F.transform(flips, lambda m: F.shiftleft(F.col("table").cast("long"), 32) + F.col("fp").bitwiseXOR(m))).alias("bucket"))
+    return each.select("n", F.explode(F.transform(flips, lambda m: F.shiftleft(F.col("table").cast("long"), 32) + F.col("fp").bitwiseXOR(m))).alias("bucket"))
+
+
+def met(nodes: DataFrame) -> DataFrame:
+    """The rows of buckets of two nodes or more: n, bucket, place in the bucket, the node before and the first."""
     order = Window.partitionBy("bucket").orderBy("n")
-    met = buckets.select("n", F.lag("n").over(order).alias("near"), F.first("n").over(order).alias("first")).where("near is not null")
-    pairs = met.select(F.col("n").alias("b"), F.explode(F.array_distinct(F.array("near", "first"))).alias("a")).distinct()
-    far = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
-    return (pairs.join(nodes.select(F.col("n").alias("a"), F.col("key").alias("ka"), F.col("fps").alias("fa")), "a")
-            .join(nodes.select(F.col("n").alias("b"), F.col("key").alias("kb"), F.col("fps").alias("fb")), "b")
-            .where(far <= FAR_BITS).select("a", "b", "ka", "kb"))
+    each = buckets(nodes).select("n", "bucket", F.row_number().over(order).alias("place"), F.lag("n").over(order).alias("near"),
+                                 F.first("n").over(order).alias("first"), F.lead("n").over(order).alias("next"))
+    return each.where("near is not null or next is not null").drop("next")
+
 
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs a < b of a bucket: each node with the one before it and with the first."""
+    return shared.where("near is not null").select(F.col("n").alias("b"), F.explode(F.array_distinct(F.array("near", "first"))).alias("a")).distinct()
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes whose shingle sets are similar enough."""
-    pairs = staged(candidate_pairs(nodes), "copies-pairs", tidy=True)
+
+def open_pairs(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs a < b of a bucket that are not connected yet: all pairs of its nodes but those of one root.
+
+    A bucket whose nodes have one root is left out at once. The nodes of others are dealt into ``BLOCK``-sized blocks by their
+    place in the bucket, and each two blocks meet in a group of their own, so that no task holds a whole bucket.
+    """
+    rooted = shared.select("n", "bucket", "place").join(roots.withColumnRenamed("node", "n"), "n", "left").withColumn("root", F.coalesce("root", "n"))
+    mixed_roots = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    inside = rooted.join(mixed_roots.select("bucket", "size"), "bucket")
+    inside = inside.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("block", F.floor((F.col("place") - 1) / BLOCK))
+    left = inside.select("bucket", "block", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"), F.col("n").alias("a"), F.col("root").alias("ra"))
+    right = inside.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("block"), F.col("block").alias("other"), F.col("n").alias("b"), F.col("root").alias("rb"))
+    return left.join(right, ["bucket", "block", "other"]).where("a < b and ra <> rb").select("a", "b").distinct()
+
+
+def alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs a, b of nodes whose shingle sets are similar enough; sizes rule out pairs that cannot be."""
+    pairs = (pairs.join(nodes.select(F.col("n").alias("a"), F.col("key").alias("ka"), F.col("size").alias("na")), "a")
+             .join(nodes.select(F.col("n").alias("b"), F.col("key").alias("kb"), F.col("size").alias("nb")), "b")
+             .where(F.least("na", "nb") >= LEAST * F.greatest("na", "nb")).select("a", "b", "ka", "kb"))
+    pairs = staged(pairs, "copies-pairs", tidy=True)
     keys = pairs.select(F.col("ka").alias("key")).union(pairs.select(F.col("kb").alias("key"))).distinct()
     sets = _sets(docs).join(keys, "key", "left_semi").groupBy("key").agg(F.max("shingles").alias("shingles"))
     sets = staged(sets, "copies-sets", tidy=True)
@@ -126,18 +161,30 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in slices(batches, "sa", 1 << 22):
-            alike = [similarity(x, y) >= LEAST for x, y in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+            close = [similarity(x, y) >= LEAST for x, y in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
     return both.mapInArrow(run, "a long, b long")
 
 
+def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root) of every node that is linked to another.
+
+    Neighbours of a bucket are compared first; what they link needs no more pairs among itself. All other pairs of a bucket are
+    compared then, so that each pair that shares a bucket is either compared or connected.
+    """
+    shared = staged(met(nodes), "copies-shared", tidy=True)
+    near = staged(alike(docs, nodes, first_pairs(shared)), "copies-near", tidy=True)
+    rest = staged(alike(docs, nodes, open_pairs(shared, components(near))), "copies-rest", tidy=True)
+    return components(near.union(rest))
+
+
 def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of copies and near-copies; columns as they were."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
     signed = staged(_signed(docs), "copies-signed")
-    nodes = signed.groupBy("key").agg(first.alias("row"), F.min("fps").alias("fps"))
+    nodes = signed.groupBy("key").agg(first.alias("row"), F.min("size").alias("size"), F.min("fps").alias("fps"))
     nodes = staged(nodes.withColumn("n", F.monotonically_increasing_id()), "copies-nodes")
-    roots = components(links(docs, nodes)).withColumnRenamed("node", "n")
+    roots = connected(docs, nodes).withColumnRenamed("node", "n")
     stay = nodes.join(roots, "n", "left").groupBy(F.coalesce("root", "n").alias("root")).agg(F.min("row").alias("row"))
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_id")
     stay = staged(stay.select(name("row.doc_id"), F.coalesce("row.th", F.lit(0)).alias("_th")), "copies-kept", tidy=True)
