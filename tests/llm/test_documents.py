@@ -310,6 +310,19 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert stay == {*range(20), 30, 33, 35}
 
 
+def test_passages_appended_or_replaced(spark):
+    """Near copies of similarity 0.8 to 0.85 by one contiguous change."""
+    draw = random.Random(11)
+    def text(n):
+        return [f"w{draw.randrange(5000)}" for _ in range(n)]
+    plain = [text(400) for _ in range(60)]
+    changed = [t + text(90) if k % 2 else t[:150] + text(36) + t[186:] for k, t in enumerate(plain)]
+    texts = [" ".join(t) for t in plain + changed]
+    sets = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in plain + changed]
+    assert all(0.8 <= len(a & b) / len(a | b) <= 0.85 for a, b in zip(sets, sets[60:]))
+    assert {r.doc_id for r in near_copies.kept(documents(spark, texts)).collect()} == set(range(60))
+
+
 @pytest.mark.parametrize("block", [256, 4])
 def test_all_texts_of_a_bucket_are_compared(spark, monkeypatch, block):
     """Many different texts of equal fingerprints, each with one near copy: neither is next to the other nor first."""

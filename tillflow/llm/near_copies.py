@@ -1,9 +1,10 @@
-"""One document of each group of near-copies: SimHash ball hashing finds pairs, five-word shingles decide.
+"""One document of each group of near-copies: SimHash balls and smallest hashes find pairs, five-word shingles decide.
 
 A text's words (ASCII lower case) give ``TABLES`` 32-bit fingerprints of its two-word shingles, which scattered edits disturb
-less than longer ones. Each fingerprint emits its ball of half the radius, itself and its one-bit variants; texts that share a
-variant are candidates. Each is compared with its neighbour and with the first of the variant, and then with every other text of
-the variant that it is not connected with yet, so that a large group makes few pairs and none is left out. Texts are linked where
+less than longer ones. Each fingerprint emits its ball of half the radius, itself and its one-bit variants. Since one long passage
+changed disturbs fingerprints more than scattered edits of the same similarity, ``BANDS`` keys of the smallest hashes of five-word
+shingles are added, whose chance to be equal depends on the similarity alone. Texts that share a variant or key are candidates. Each is compared with its neighbour and with the first of the bucket, and then with every other text of
+it that it is not connected with yet, so that a large group makes few pairs and none is left out. Texts are linked where
 the Jaccard similarity of their sets of five-word shingles is ``LEAST`` or more; only where the sizes of the sets rule that out
 are pairs not compared. Of each connected group the row with the smallest id stays. Texts of equal words are copies, those
 without words (null, empty) are one group of copies, texts of fewer words are one shingle. Of repeated rows one stays; a null id
@@ -22,6 +23,8 @@ from .simhash import components
 
 SHINGLE, LEAST = 5, 0.8
 PAIR, TABLES = 2, 6
+#: Keys of ``ROWS`` smallest hashes each.
+BANDS, ROWS = 24, 5
 #: Nodes of a bucket that meet in one group.
 BLOCK = 256
 SLICE_BYTES = 1 << 18
@@ -35,6 +38,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: For each smallest hash a number to flip the bits with and an odd one to multiply by.
+SALTS = mixed(np.arange(1, 2 * BANDS * ROWS + 1).astype(np.uint64) * np.uint64(ODD[3])).reshape(2, -1, 1)
+SALTS[1] |= np.uint64(1)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     words = (text or "").encode().lower().split()
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
@@ -61,6 +69,20 @@ def fingerprints(words: np.ndarray) -> np.ndarray:
     return np.packbits(np.concatenate(bits)[: 32 * TABLES] * 2 > len(pairs), bitorder="little").view(np.uint32).astype(np.int64)
 
 
+def bands(words: np.ndarray) -> np.ndarray:
+    """``BANDS`` numbers, each of ``ROWS`` smallest hashes of the five-word shingles: two texts share one with similarity ** ROWS as the chance."""
+    h = shingles(words, SHINGLE)
+    if not len(h):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for at in range(0, len(h), 1024):
+        np.minimum(least, ((h[at:at + 1024] ^ SALTS[0]) * SALTS[1]).min(axis=1), out=least)
+    keys = np.arange(1, BANDS + 1).astype(np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        keys = mixed(keys * np.uint64(ODD[0]) + column)
+    return keys.view(np.int64)
+
+
 def shingle_set(words: np.ndarray) -> np.ndarray:
     """Sorted 32-bit hashes of the five-word shingles."""
     return np.unique(shingles(words, SHINGLE).astype(np.uint32))
@@ -75,15 +97,15 @@ def _key(words: np.ndarray) -> bytes:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), key (of its words), size (of its shingle set), fps."""
+    """doc_id, th (hash of the text), key (of its words), size (of its shingle set), fps, bands."""
     def run(batches):
         for batch in slices(batches, "text", SLICE_BYTES):
             words = [word_hashes(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array([_key(w) for w in words], pa.binary()),
-                                              pa.array([set_size(w) for w in words], pa.int64()), pa.array([fingerprints(w) for w in words], pa.list_(pa.int64()))],
-                                             ["doc_id", "th", "key", "size", "fps"])
+                                              pa.array([set_size(w) for w in words], pa.int64()), pa.array([fingerprints(w) for w in words], pa.list_(pa.int64())),
+                                              pa.array([bands(w) for w in words], pa.list_(pa.int64()))], ["doc_id", "th", "key", "size", "fps", "bands"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, th long, key binary, size long, fps array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, th long, key binary, size long, fps array<long>, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -113,10 +135,11 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """n and each bucket it is in: the variants of its fingerprints."""
+    """n and each bucket it is in: the variants of its fingerprints, and its bands."""
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(32)])
     each = nodes.select("n", F.posexplode("fps").alias("table", "fp"))
-    return each.select("n", F.explode(F.transform(flips, lambda m: F.shiftleft(F.col("table").cast("long"), 32) + F.col("fp").bitwiseXOR(m))).alias("bucket"))
+    balls = each.select("n", F.explode(F.transform(flips, lambda m: F.shiftleft(F.col("table").cast("long"), 32) + F.col("fp").bitwiseXOR(m))).alias("bucket"))
+    return balls.union(nodes.select("n", F.explode("bands").alias("bucket")))
 
 
 def met(nodes: DataFrame) -> DataFrame:
@@ -182,7 +205,7 @@ def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of copies and near-copies; columns as they were."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
     signed = staged(_signed(docs), "copies-signed")
-    nodes = signed.groupBy("key").agg(first.alias("row"), F.min("size").alias("size"), F.min("fps").alias("fps"))
+    nodes = signed.groupBy("key").agg(first.alias("row"), F.min("size").alias("size"), F.min("fps").alias("fps"), F.min("bands").alias("bands"))
     nodes = staged(nodes.withColumn("n", F.monotonically_increasing_id()), "copies-nodes")
     roots = connected(docs, nodes).withColumnRenamed("node", "n")
     stay = nodes.join(roots, "n", "left").groupBy(F.coalesce("root", "n").alias("root")).agg(F.min("row").alias("row"))
