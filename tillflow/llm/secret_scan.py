@@ -1,6 +1,7 @@
 """Secret scans: a random forest removes the false positives among candidate strings. DataFrame functions and Spark ML only.
 
-Candidates are long runs with a digit, and whatever is assigned to a name such as ``password``. A forest judges each by length,
+Candidates are long runs with a digit or an issuer's mark, passwords in addresses (``scheme://user:password@host``), and whatever
+of four characters or more is assigned to a name such as ``password`` or ``SECRET_KEY``. A forest judges each by length,
 character transitions, coverage by frequent words of all documents, path-like surroundings and neighbouring words. It is
 trained on labelled findings: at most ``MOST_FINDINGS`` candidates that clear rules mark as secrets (issuer formats, random
 values assigned to such a name) or as harmless (numbers, addresses, words, checksums), and a made set of both kinds, so that
@@ -19,19 +20,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .shared import staged
 
-NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
+NAMES = "password|passwd|passphrase|passcode|pass|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
+#: What may follow a name: SECRET_KEY, access_key_id, token2.
+SUFFIX = "(?:[_-]?(?:key|id|[0-9]{1,3}))?" * 2
 RUN = "[A-Za-z0-9+/_-]"
-#: A long run with a digit, or a value assigned to a telling name.
+ISSUER = "AKIA|ASIA|gh[opsu]_|xox[abprs]-|[sr]k_live_|AIza"
+#: What stands before the password of an address with credentials.
+LOGIN = "://[^\\s/@:\"'<>]{0,64}:"
+#: The password of such an address, a long run with a digit or an issuer's mark, or a value assigned to a telling name.
 #: Cheap looks behind come first, so that the dear ones run only behind an assignment.
-CANDIDATE = (f"(?<!{RUN})(?=[A-Za-z+/_-]*+[0-9]){RUN}{{16,}}+={{0,2}}"
-             f"|(?<=[:=\"'\\s])(?<=[:=]\\s{{0,3}}[\"']?)(?<=(?i:{NAMES})[\"']?\\s{{0,3}}[:=]\\s{{0,3}}[\"']?)[^\\s\"'<>,;]{{8,}}")
+CANDIDATE = (f"(?<=:)(?<={LOGIN})[^\\s/@\"'<>]++(?=@)"
+             f"|(?<!{RUN})(?=[A-Za-z+/_-]*+[0-9]|{ISSUER}){RUN}{{16,}}+={{0,2}}"
+             f"|(?<=[:=\"'\\s])(?<=[:=]\\s{{0,3}}[\"']?)(?<=(?i:{NAMES})(?i:{SUFFIX})[\"']?\\s{{0,3}}[:=]\\s{{0,3}}[\"']?)[^\\s\"'<>,;]{{4,}}")
 ISSUED = "^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[opsu]_[A-Za-z0-9]{36}|^xox[abprs]-|^[sr]k_live_[0-9a-zA-Z]{16}|^AIza[0-9A-Za-z_-]{35}$"
 SUMS = "(?i)(commit|sha-?[0-9]*|md5|checksum|digest|uuid|etag|revision|integrity)\\W{0,6}$"
-ASSIGNED = f"(?i)({NAMES})[\"']?\\s*[:=]\\s*[\"']?$"
+ASSIGNED = f"(?i)({NAMES}){SUFFIX}[\"']?\\s*[:=]\\s*[\"']?$"
 #: Private-use characters that mark the candidates in a text; such characters in the text itself are looked at as another one.
 OPEN, CLOSE, OTHER = "\ue000", "\ue001", "\ue002"
-CONTEXT = 40
-MOST_FINDINGS, DICTIONARY, MADE = 20_000, 400, 512
+CONTEXT = 80
+MOST_FINDINGS, DICTIONARY, MADE = 20_000, 400, 1024
 TREES, DEPTH, THRESHOLD = 24, 6, 0.5
 MASK = "[SECRET]"
 FEATURES = ["long", "class_changes", "vowel_changes", "distinct", "digits", "upper", "hex", "covered", "path", "named", "summed", "quoted", "address"]
@@ -65,13 +72,14 @@ def judged_by(rows: DataFrame, words: list[str]) -> DataFrame:
     value, size = F.col("value"), F.length("value")
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / size
     covered = (size - F.length(F.regexp_replace(F.lower(value), "|".join(sorted(words, key=lambda w: (-len(w), w))), ""))) / size if words else F.lit(0.0)
+    login = F.col("before").rlike(LOGIN + "$") & F.col("after").startswith("@")
     made = {
         "long": size, "class_changes": share("[a-z](?=[A-Z0-9])|[A-Z](?=[a-z0-9])|[0-9](?=[A-Za-z])"),
         "vowel_changes": share("(?i)[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"),
         "distinct": F.size(F.array_distinct(F.split(value, ""))), "digits": share("[0-9]"), "upper": share("[A-Z]"), "hex": share("[0-9a-f]"),
-        "covered": covered, "path": F.col("before").rlike("[/\\\\]$|https?:") | value.contains("/") | F.col("after").rlike("^[/\\\\]|^\\.[a-z]{2,4}\\b"),
-        "named": F.col("before").rlike(ASSIGNED), "summed": F.col("before").rlike(SUMS), "quoted": F.col("before").rlike("[\"']$"),
-        "address": F.col("after").rlike("^@") | value.contains("@"),
+        "covered": covered, "path": ~login & (F.right("before", F.lit(CONTEXT // 2)).rlike("[/\\\\]$|https?:") | value.contains("/") | F.col("after").rlike("^[/\\\\]|^\\.[a-z]{2,4}\\b")),
+        "named": F.col("before").rlike(ASSIGNED) | login, "summed": F.col("before").rlike(SUMS), "quoted": F.col("before").rlike("[\"']$"),
+        "address": ~login & (F.col("after").rlike("^@") | value.contains("@")),
     }
     return rows.select("*", *[c.cast("double").alias(k) for k, c in made.items()])
 
@@ -87,11 +95,18 @@ def made_findings(docs: DataFrame, words: list[str]) -> DataFrame:
     """Labelled values in the usual surroundings, from hashes of numbers: random keys and passwords, and their look-alikes."""
     h = F.md5(F.col("id").cast("string"))
     word = lambda k: F.element_at(F.array(*map(F.lit, words or ["word"])), (F.conv(F.substring(h, k, 6), 16, 10).cast("long") % max(1, len(words)) + 1).cast("int"))
+    spoken = F.concat(*[F.translate(F.substring(h, k, 1), "0123456789abcdef", to) for k in range(1, 9) for to in [["aeiouaeiouaeioua", "bdfglmnprstvkchz"][k % 2]]])
+    letters = F.translate(F.substring(h, 1, 12), "0123456789", "ghjkmnpqrs")
     kinds = [
         (F.substring(h, 1, 18), F.lit("password="), F.lit(" "), 1.0), (F.concat(h, F.substring(h, 3, 8)), F.lit('token = "'), F.lit('" '), 1.0),
         (F.concat(F.lit("AKIA"), F.translate(F.upper(F.substring(h, 1, 16)), "01", "QZ")), word(1), F.lit(" "), 1.0), (F.base64(F.unhex(h)), F.lit("secret: "), F.lit("\n"), 1.0),
         (F.translate(F.substring(h, 1, 16), "abcdef", "123456"), word(1), F.lit(" "), 0.0), (F.concat(h, F.substring(h, 1, 8)), F.lit("commit "), F.lit("\n"), 0.0),
         (F.concat_ws("-", word(1), word(7), word(13), F.substring(h, 30, 1)), word(20), F.lit(" "), 0.0), (F.concat_ws("/", word(1), word(9), h), F.lit("https://"), F.lit(".html"), 0.0),
+        (F.substring(F.base64(F.unhex(h)), 1, 7), F.lit("db_pass="), F.lit("\n"), 1.0), (letters, F.lit("SECRET_KEY="), F.lit("\n"), 1.0),
+        (F.concat(F.lit("AKIA"), F.translate(F.upper(F.substring(h, 1, 16)), "0123456789", "QZXWVUTSRP")), F.lit("aws_access_key_id="), F.lit("\n"), 1.0),
+        (F.concat(F.substring(spoken, 1, 6), F.substring(h, 20, 2)), F.lit("passphrase: "), F.lit("\n"), 1.0),
+        (F.substring(F.base64(F.unhex(h)), 3, 9), F.lit("postgres://admin:"), F.lit("@db"), 1.0), (spoken, F.lit("secret: "), F.lit(" "), 0.0),
+        (word(1), F.lit("password: "), F.lit(" "), 0.0), (F.substring(spoken, 1, 6), F.lit("auth: "), F.lit(" "), 0.0),
     ]
     value, before, after = (F.element_at(F.array(*[k[i] for k in kinds]), (F.col("id") % len(kinds) + 1).cast("int")) for i in range(3))
     label = F.element_at(F.array(*[F.lit(k[3]) for k in kinds]), (F.col("id") % len(kinds) + 1).cast("int"))
