@@ -172,6 +172,16 @@ def test_suffix_tree_equals_counting(spark):
     assert first and second
 
 
+def test_suffix_tree_keeps_contexts_of_little_gain(spark):
+    """"right" ends every text, so "left" gains 3 to 8 nats from its three learned repeats: it is a state."""
+    learned = [i for i in range(100) if crc(i) % 7 != 2]
+    texts = ["left right" if i in learned[:3] else f"u{i} right" for i in range(100)]
+    rows = {r.doc_id: r for r in suffix_tree.score(documents(spark, texts)).collect()}
+    assert 3 <= 3 * math.log((3 * len(learned) + 2) / len(learned)) < 8
+    gains = [rows[i].score - rows[i].base_score for i in (learned[0], learned[3])]
+    assert gains[0] > gains[1] + 0.3
+
+
 def test_suffix_tree_odd_and_empty(odd, empty):
     assert suffix_tree.score(odd).count() == odd.count()
     assert suffix_tree.score(empty).count() == 0
