@@ -12,6 +12,26 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+    FROM v AS a JOIN v AS c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+liked AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+    SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM liked AS p JOIN scored AS s ON p.anchor_id = s.anchor_id
+    WHERE NOT s.same AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
 # seats go one by one to the highest quotients, straight from the definition
 MIXING = r"""
 WITH docs AS (
@@ -57,4 +77,4 @@ SELECT p.doc_id, p.source, p.size, t.source_size, t.target,
 FROM picked AS p JOIN targets AS t ON p.pair = t.pair
 """
 
-ORACLE = {"op8_mixing": MIXING, "op9_topk": TOPK}
+ORACLE = {"op8_mixing": MIXING, "op9_topk": TOPK, "op11_negatives": NEGATIVES}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, nearest, packing, quality, repeats, secret_scan, simhash, suffix_tree, topk
+from . import jaccard, language, mixing, nearest, negatives, packing, quality, repeats, secret_scan, simhash, suffix_tree, topk
 from .oracle import ORACLE  # noqa: F401  (registered beside the queries)
 from .shared import ship
 
@@ -57,4 +57,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_suffix_tree, op4_nearest, op5_repeats, op6_secrets, op7_simhash, op8_mixing, op9_topk, op10_quality)}
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_suffix_tree, op4_nearest, op5_repeats, op6_secrets, op7_simhash, op8_mixing, op9_topk,
+                                   op10_quality, op11_negatives, op13_jaccard)}
