@@ -126,7 +126,7 @@ def mine(vectors: DataFrame, is_anchor: Column, factor: int = FACTOR, positives:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score: per anchor and positive the best rows of other labels in its window."""
     rows = staged(prepared(vectors, factor), "negatives-rows")
     blocks = 1 + rows.count() // BLOCK
-    index = staged(rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "label", "x"), F.lit(blocks))).groupBy("block").applyInArrow(_index, INDEX), "negatives-index")
+    index = staged(rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "label", "x"), F.lit(blocks))).groupBy("block").applyInArrow(lambda key, t: _index(key, t), INDEX), "negatives-index")
     anchors = staged(rows.where(is_anchor).groupBy("vec_id").agg(F.min(F.struct("label", "x")).alias("a")).select("vec_id", "a.label", "a.x"), "negatives-anchors")
     groups = 1 + anchors.count() // GROUP
     wide = np.array([-(2 ** 62)]), np.array([2 ** 62])
