@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, language, mixing, nearest, negatives, packing, quality, repeats, secret_scan, simhash, suffix_tree, topk
+from . import alignment, jaccard, language, mixing, nearest, negatives, packing, quality, repeats, secret_scan, simhash, suffix_tree, topk
 from .oracle import ORACLE  # noqa: F401  (registered beside the queries)
 from .shared import ship
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
+ALIGNED_TOKENIZERS = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,9 +64,14 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED_TOKENIZERS))
+    return rows.withColumn("groups_sha256", F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
+
+
 def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_suffix_tree, op4_nearest, op5_repeats, op6_secrets, op7_simhash, op8_mixing, op9_topk,
-                                   op10_quality, op11_negatives, op13_jaccard)}
+                                   op10_quality, op11_negatives, op12_alignment, op13_jaccard)}
