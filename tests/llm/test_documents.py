@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from tillflow.llm import language, mixing, near_copies, packing, quality, repeats, secret_scan, simhash, suffix_tree
+from tillflow.llm import language, mixing, packing, quality, repeats, secret_scan, simhash, suffix_tree
 
 from .conftest import documents
 
@@ -311,52 +311,22 @@ def test_simhash_odd_and_empty(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-def test_one_of_each_group_of_near_copies_stays(spark):
+def test_one_of_each_component_stays(spark):
     draw = random.Random(5)
-    def text(n):
-        return [f"w{draw.randrange(5000)}" for _ in range(n)]
-    plain = [text(300) for _ in range(20)]
-    copies = []
-    for k in range(10):
-        edited = list(plain[k])
-        for at in draw.sample(range(300), 3):
-            edited[at] = "other"
-        copies.append(edited)
-    far = [plain[11][:150] + text(150)]
-    texts = [" ".join(t) for t in plain + copies + far] + [" ".join(plain[0]), " ".join(plain[0]).upper(), "", None, "tiny", "tiny"]
-    stay = {r.doc_id for r in near_copies.kept(documents(spark, texts)).collect()}
-    assert stay == {*range(20), 30, 33, 35}
-
-
-def test_passages_appended_or_replaced(spark):
-    """Near copies of similarity 0.8 to 0.85 by one contiguous change."""
-    draw = random.Random(11)
-    def text(n):
-        return [f"w{draw.randrange(5000)}" for _ in range(n)]
-    plain = [text(400) for _ in range(60)]
-    changed = [t + text(90) if k % 2 else t[:150] + text(36) + t[186:] for k, t in enumerate(plain)]
-    texts = [" ".join(t) for t in plain + changed]
-    sets = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in plain + changed]
-    assert all(0.8 <= len(a & b) / len(a | b) <= 0.85 for a, b in zip(sets, sets[60:]))
-    assert {r.doc_id for r in near_copies.kept(documents(spark, texts)).collect()} == set(range(60))
-
-
-@pytest.mark.parametrize("block", [256, 4])
-def test_all_texts_of_a_bucket_are_compared(spark, monkeypatch, block):
-    """Many different texts of equal fingerprints, each with one near copy: neither is next to the other nor first."""
-    draw = random.Random(8)
-    plain = [[f"w{draw.randrange(5000)}" for _ in range(200)] for _ in range(15)]
-    texts = [" ".join(t) for t in plain] + [" ".join(t[:90] + ["other"] + t[91:]) for t in plain]
-    signed = near_copies._signed
-    monkeypatch.setattr(near_copies, "BLOCK", block, raising=False)
-    monkeypatch.setattr(near_copies, "_signed", lambda d: signed(d).withColumn("fps", F.array(*[F.lit(0).cast("long")] * near_copies.TABLES)))
-    assert {r.doc_id for r in near_copies.kept(documents(spark, texts)).collect()} == set(range(15))
-
-
-def test_near_copies_odd_and_empty(odd, empty):
-    out = near_copies.kept(odd)
-    assert out.columns == odd.columns and out.count() == len({b" ".join(words(r.text)) for r in odd.collect()})
-    assert near_copies.kept(empty).count() == 0
+    plain = [[f"w{draw.randrange(5000)}" for _ in range(300)] for _ in range(20)]
+    texts = [" ".join(t) for t in plain] + [" ".join(plain[0]), " ".join(plain[0]).upper(), "", None, "tiny", "tiny"]
+    near = [" ".join(plain[1][:k] + ["other"] + plain[1][k:]) for k in range(0, 300, 3)]
+    table = documents(spark, texts + near)
+    least = {r.component_id for r in simhash.near_duplicates(table).collect()}
+    assert {r.doc_id for r in simhash.kept(table).collect()} == least and {*range(20), 22, 24} <= least and len(least) < 22 + len(near)
+
+
+def test_kept_odd_and_empty(odd, empty):
+    out = simhash.kept(odd)
+    rows = out.collect()
+    assert out.columns == odd.columns and len({b" ".join(words(r.text)) for r in rows}) == len(rows)
+    assert {b" ".join(words(r.text)) for r in rows} == {b" ".join(words(r.text)) for r in odd.collect()}
+    assert simhash.kept(empty).count() == 0
 
 
 # ---- mixing ---------------------------------------------------------------------------------------------------------

@@ -31,7 +31,7 @@ def test_pipeline_on_nothing(spark, empty):
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

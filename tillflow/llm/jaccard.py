@@ -7,8 +7,8 @@ tile per part, keyed by the band, the part and the part's shingles; parts withou
 than e of them, which its partner then has as well. So every pair that links meets in a tile, and whatever shingles many
 documents share, sets meet only where a whole part agrees.
 
-Within a task, and then among tasks, each set of a tile is paired with the tile's least and its neighbour. In tiles that these
-pairs leave in several components, all sets of different components are compared by bitmaps, in blocks. A bitmap has a bit per
+Each set is compared with the least set it meets in a tile, and where that does not connect them with the least set and the
+neighbour of each of its tiles (within a task, then among tasks). In tiles that are left in several components, all sets of different components are compared by bitmaps, in blocks. A bitmap has a bit per
 hash modulo a power of two; bits set on one side only bound the overlap from above, and pairs that may pass are decided by
 intersecting the sorted hashes. Components come from star contraction. Only fingerprint-sized rows are shuffled for all
 documents; the hashes of sets in shared tiles are computed anew from their texts.
@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import slices, staged
+from .shared import discard, slices, staged
 from .simhash import components, shingle_hashes
 
 SHINGLE, PERCENT = 4, 85
@@ -229,6 +229,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(lambda batches: _linked(batches, percent), "a long, b long")
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose nodes are in different components."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(own, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    return pairs.where("root_a <> root_b").select("a", "b")
+
+
 def _spread(entries: DataFrame, sets: DataFrame) -> DataFrame:
     """The sets of each tile, copied to all pairs of the tile's blocks they belong to, in buckets of bounded bytes."""
     held = entries.groupBy("tile").agg((1 + F.floor(F.count(F.lit(1)) / BLOCK)).alias("blocks"))
@@ -245,11 +253,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCEN
     kind = docs.schema["doc_id"].dataType.simpleString()
     for seed in itertools.count():
         placed = staged(texts.mapInArrow(lambda batches: _placed(batches, words, percent, seed), ROWS.format(kind)), "jaccard-places", tidy=True)
-        rows = placed.where("n is not null").select("doc_id", "node", "n")
         nodes = staged(placed.where("node is not null").groupBy("node").agg(
             F.min("check").alias("check"), F.max("check").alias("other"), F.min("doc_id").alias("first"), F.min("hint").alias("hint")), "jaccard-nodes", tidy=True)
         if not nodes.where("check <> other").head(1):
             break
+        discard(placed, nodes)
+    rows = staged(placed.where("n is not null").select("doc_id", "node", "n"), "jaccard-rows")
 
     def unpacked(*columns):
         return placed.where(F.col(columns[0]).isNotNull()).select(F.explode(F.arrays_zip(*columns)).alias("e")).select("e.*")
@@ -260,14 +269,18 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCEN
         "tile", F.col("least").alias("node"), F.min("least").over(tile).alias("a"), F.max("least").over(tile).alias("z"), F.lag("least").over(tile.orderBy("least")).alias("before"))
     more = unpacked("more_tile", "more", "more_least").select(F.col("more_tile").alias("tile"), F.col("more").alias("node"), F.col("more_least").alias("a"))
     met = staged(met.where("a <> z").select("tile", "node", "a", "before").union(more.withColumn("before", F.lit(None).cast("long"))), "jaccard-tiles", tidy=True)
-    pairs = met.select(F.explode(F.array("a", "before")).alias("a"), F.col("node").alias("b")).where("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    discard(placed)
     members = met.select("tile", F.explode(F.array("node", "a")).alias("node")).distinct()
 
     hints = nodes.join(members.select("node").distinct(), "node", "left_semi").select("hint").distinct()
     sets = texts.join(hints, "hint", "left_semi").select("text").mapInArrow(lambda batches: _sets(batches, words, percent, seed), SETS)
     sets = staged(sets.dropDuplicates(["node"]), "jaccard-sets", tidy=True)
-    links = staged(_verified(pairs, sets, percent), "jaccard-links", tidy=True)
+    # each set against one least set it meets; then those pairs of least sets and neighbours that are still apart
+    first = met.where("a <> node").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).select("a", "b")
+    links = staged(_verified(first, sets, percent), "jaccard-links", tidy=True)
+    pairs = met.select(F.explode(F.array("a", "before")).alias("a"), F.col("node").alias("b")).where("a <> b")
+    pairs = _apart(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), components(links))
+    links = links.union(staged(_verified(pairs, sets, percent), "jaccard-links", tidy=True))
     roots = components(links)
 
     # tiles whose nodes are still in several components: all their sets of different components are compared

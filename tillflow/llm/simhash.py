@@ -100,3 +100,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root")
     return (marked.join(named.select("fp", "component_id"), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def kept(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """One document of each component, that of the smallest id (null ids last; of equal ids the smallest text hash); columns as they were.
+
+    Of equal rows one stays. Texts without words are all linked, so one of them stays.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("hash"))
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_id")
+    stay = near_duplicates(docs.select(name.alias("doc_id"), "text"), words).select("component_id").distinct()
+    stay = staged(stay.select(plain("component_id.id"), F.col("component_id.hash").alias("_hash")).distinct(), "simhash-kept", tidy=True)
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], plain("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_hash"))
+    chosen = inner.join(stay, ["_id", "_hash"]).withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0))))
+    return chosen.where("_n = 1").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
