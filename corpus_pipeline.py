@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import language, mixing, near_copies, packing, secret_scan
+from tillflow.llm import language, mixing, packing, secret_scan, simhash
 from tillflow.llm.shared import ship, staged
 
 
@@ -19,8 +19,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies (five-word shingles, similarity 0.8 or more)."""
-    return near_copies.kept(docs)
+    """One document of each group of near-copies: three-word shingles, fingerprints at most two bits apart."""
+    return simhash.kept(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
