@@ -205,27 +205,34 @@ def _compared(rows: pa.Table, percent: int) -> pa.Table:
 
 
 def _linked(batches, percent: int):
-    """Pairs whose overlap, counted in the sorted hashes, is large enough."""
+    """The pairs whose overlap, counted in the sorted hashes, is large enough."""
     for batch in batches:
         keep = []
-        for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("bits", "bits_b", "hashes", "hashes_b"))):
+        for x, y in zip(batch["hashes"].to_pylist(), batch["hashes_b"].to_pylist()):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-            small, n = (x, y) if len(x) < len(y) else (y, x), len(x) + len(y)
-            ok = bool(may_link(len(x), a, np.array([len(y)]), b.reshape(1, -1), percent)[0])
-            if ok:
-                at = np.searchsorted(small[1], small[0])
-                same = int((small[1][np.minimum(at, len(small[1]) - 1)] == small[0]).sum())
-                ok = 100 * same >= percent * (n - same)
-            keep.append(ok)
+            few, many = (x, y) if len(x) < len(y) else (y, x)
+            at = np.searchsorted(many, few)
+            same = int((many[np.minimum(at, len(many) - 1)] == few).sum())
+            keep.append(100 * same >= percent * (len(x) + len(y) - same))
         at = np.flatnonzero(keep)
         yield pa.RecordBatch.from_arrays([batch["a"].take(pa.array(at)), batch["b"].take(pa.array(at))], ["a", "b"])
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their bitmaps do not rule out."""
+    def run(batches):
+        for batch in batches:
+            ok = [bool(may_link(n, np.frombuffer(x, np.uint8), np.array([m]), np.frombuffer(y, np.uint8).reshape(1, -1), percent)[0])
+                  for n, m, x, y in zip(*(batch[c].to_pylist() for c in ("n", "n_b", "bits", "bits_b")))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    other = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    return pairs.join(sets.select(F.col("node").alias("a"), "n", "bits"), "a").join(other, "b").select("a", "b", "n", "n_b", "bits", "bits_b").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
-    other = sets.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"), F.col("hashes").alias("hashes_b"))
-    both = pairs.join(sets.select(F.col("node").alias("a"), "bits", "hashes"), "a").join(other, "b")
+    other = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b"))
+    both = pairs.join(sets.select(F.col("node").alias("a"), "hashes"), "a").join(other, "b")
     return both.mapInArrow(lambda batches: _linked(batches, percent), "a long, b long")
 
 
@@ -277,9 +284,11 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCEN
     sets = staged(sets.dropDuplicates(["node"]), "jaccard-sets", tidy=True)
     # each set against one least set it meets; then those pairs of least sets and neighbours that are still apart
     first = met.where("a <> node").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).select("a", "b")
+    first = staged(_possible(first, sets, percent), "jaccard-possible", tidy=True)
     links = staged(_verified(first, sets, percent), "jaccard-links", tidy=True)
     pairs = met.select(F.explode(F.array("a", "before")).alias("a"), F.col("node").alias("b")).where("a <> b")
     pairs = _apart(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), components(links))
+    pairs = staged(_possible(pairs, sets, percent), "jaccard-possible", tidy=True)
     links = links.union(staged(_verified(pairs, sets, percent), "jaccard-links", tidy=True))
     roots = components(links)
 
