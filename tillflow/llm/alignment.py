@@ -44,6 +44,8 @@ SLICE_BYTES = 4 << 20
 MOST_WORDS, MOST_BYTES = 300_000, 32 << 20
 #: Pairs that a task holds before it merges them.
 HELD = 4_000_000
+#: Words put together in one text for the tokenizers.
+JOINED = 4096
 CUT = re.compile(r"(?<=\S) (?=\S)")
 PIECES = "shard int, part long, keys binary, counts binary"
 TABLE = "shard int, part long, n long, sizes binary, words binary, keys binary"
@@ -136,20 +138,42 @@ class Tokenizers:
         plain = ranks == sorted(ranks) and min(ranks, default=256) >= 256 and {len(spelled[i]) for i in range(256)} == {1}
         self.quick = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks={b: i for i, b in spelled.items()}, special_tokens={}) if plain else None
         self.shift = len(self.b_bytes).bit_length()
-        self.kind = np.dtype(np.uint32 if len(self.a_bytes) << self.shift < 1 << 32 else np.uint64)
+        if len(self.a_bytes) << self.shift > 1 << 32:
+            raise ValueError("a pair of ids does not fit in 32 bits")
+        self.kind = np.dtype(np.uint32)
         self.a_size, self.b_size = (np.array(list(map(len, b)), np.int64) for b in (self.a_bytes, self.b_bytes))
         texts = [f"{i}{end}".encode() for n, ends in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for end in ends for i in range(n)]
         self.texts = np.array(texts, object)
 
-    def ids(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a: list = [None] * len(words)
-        quick = [i for i, w in enumerate(words) if self.quick and w.isascii()]
-        for i, found in zip(quick, self.quick.encode_ordinary_batch([f" {words[i]}" for i in quick], num_threads=1) if quick else []):
-            a[i] = found
-        rest = [i for i, found in enumerate(a) if found is None]
-        for i, found in zip(rest, self.a.encode_batch([f" {words[i]}" for i in rest], add_special_tokens=False) if rest else []):
-            a[i] = found.ids
-        return a, self.b.encode(words, num_threads=1)
+    def _a_ids(self, texts: list[str]) -> list[list[int]]:
+        if self.quick and all(map(str.isascii, texts)):
+            return [self.quick.encode_ordinary(t) for t in texts]
+        return [found.ids for found in self.a.encode_batch(texts, add_special_tokens=False)]
+
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of both for words put together by spaces; None if they do not give back the bytes."""
+        texts = [" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
+        a, b = ([i for ids in found for i in ids] for found in (self._a_ids([f" {t}" for t in texts]), self.b.encode(texts, num_threads=1)))
+        raw = b"".join([f" {t}".encode() for t in texts])
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def alone(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of both for words one by one, and which words give back their bytes; the others have no ids."""
+        good, flat = [], ([], [])
+        for word, a, b in zip(words, self._a_ids([f" {w}" for w in words]), self.b.encode(words, num_threads=1)):
+            raw = f" {word}".encode()
+            good.append(b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b]))
+            if good[-1]:
+                flat[0].extend(a)
+                flat[1].extend(b)
+        return [np.array(f, np.int64) for f in flat], np.array(good, bool)
+
+
+def _kind(word: str) -> int:
+    """0 and 1: words that may be put together, of ASCII letters and of others; 2: those with white space at an end or with B's sign for a space."""
+    return 2 if word[0].isspace() or word[-1].isspace() or "▁" in word else int(not word.isascii())
 
 
 @lru_cache(1)
@@ -158,7 +182,7 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
 
 
 class Words:
-    """The words a worker has met: counts of tokens, groups and links, their pairs, and their groups as text."""
+    """The words a worker has met: counts of tokens, groups and links, their pairs, and with a ``lookup`` of pairs what it gives and the groups as text."""
 
     def __init__(self, both: Tokenizers, lookup=None):
         self.both, self.lookup, self.kept = both, lookup, None
@@ -171,24 +195,29 @@ class Words:
         self.until = np.zeros(1, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        both, n = self.both, len(words)
-        a, b = both.ids(words)
-        counts = [np.fromiter(map(len, x), np.int64, n) for x in (a, b)]
-        flat = [np.fromiter((i for ids in x for i in ids), np.int64, int(c.sum())) for x, c in zip((a, b), counts)]
-        raw = [f" {w}".encode() for w in words]
-        joined = [b"".join([spelled[i] for i in ids]) for spelled, f in ((both.a_bytes, flat[0]), (both.b_bytes, flat[1])) for ids in (f.tolist(),)]
-        good = np.ones(n, bool)
-        if joined[0] != joined[1] or joined[0] != b"".join(raw):
-            good = np.array([b"".join([both.a_bytes[i] for i in x]) == r == b"".join([both.b_bytes[i] for i in y]) for x, y, r in zip(a, b, raw)])
-            flat = [f[np.repeat(good, c)] for f, c in zip(flat, counts)]
-            counts = [c * good for c in counts]
-        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, n) * good)
+        both, kinds = self.both, np.fromiter(map(_kind, words), np.int64, len(words))
+        order = np.argsort(kinds, kind="stable").tolist()
+        words, n = [words[i] for i in order], len(words)
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(kinds, minlength=3))])
+        good, ids = np.ones(n, bool), [[], []]
+        for kind, (x, y) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            found = both.joined(words[x:y]) if x < y and kind < 2 else None
+            if found is None:
+                found, good[x:y] = both.alone(words[x:y])
+            ids[0].append(found[0])
+            ids[1].append(found[1])
+        flat = [np.concatenate(i) for i in ids]
+        sizes = np.fromiter((len(w.encode()) + 1 for w in words), np.int64, n)
+        ends = np.cumsum(sizes * good)
         a_end, b_end = np.cumsum(both.a_size[flat[0]]), np.cumsum(both.b_size[flat[1]])
-        cut, common = np.union1d(a_end, b_end), np.intersect1d(a_end, b_end)
+        cut = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        again = np.concatenate([cut[1:] == cut[:-1], [False]])[: len(cut)]  # ends of a side are all different
+        common, cut = cut[again], cut[~again]
         # the byte range that ends at a cut is in one token of each side
         keys = (flat[0][np.searchsorted(a_end, cut)] << both.shift | flat[1][np.searchsorted(b_end, cut)]).astype(both.kind)
         word = lambda places: np.bincount(np.searchsorted(ends, places), minlength=n)
         links = word(cut)
+        counts = [word(e) for e in (a_end, b_end)]
         new = np.zeros((7, n), np.int64)
         new[:5] = counts[0], counts[1], word(common), links, ~good
         if self.lookup:
@@ -196,19 +225,19 @@ class Words:
             found[:, 1:] = np.cumsum(self.lookup(keys), axis=1)
             last = np.cumsum(links)
             new[5:] = found[:, last] - found[:, last - links]
-        # texts of ids in the order of groups, each group's A ids before its B ids
-        group = [np.searchsorted(common, e) for e in (a_end, b_end)]
-        closes = [np.isin(e, common) for e in (a_end, b_end)]
-        n_a, n_b = len(both.a_bytes), len(both.b_bytes)
-        codes = np.concatenate([flat[0] + n_a * closes[0], 2 * n_a + flat[1] + n_b * closes[1]])
-        order = np.lexsort((np.repeat([0, 1], list(map(len, flat))), np.concatenate(group)))
-        texts, stops = both.texts[codes[order]].tolist(), np.cumsum(counts[0] + counts[1]).tolist()
-        self.groups += [b"".join(texts[x:y])[:-1] for x, y in zip([0, *stops], stops)]
+            # texts of ids in the order of groups, each group's A ids before its B ids
+            group = [np.searchsorted(common, e) for e in (a_end, b_end)]
+            closes = [np.isin(e, common) for e in (a_end, b_end)]
+            n_a, n_b = len(both.a_bytes), len(both.b_bytes)
+            codes = np.concatenate([flat[0] + n_a * closes[0], 2 * n_a + flat[1] + n_b * closes[1]])
+            order = np.lexsort((np.repeat([0, 1], list(map(len, flat))), np.concatenate(group)))
+            texts, stops = both.texts[codes[order]].tolist(), np.cumsum(counts[0] + counts[1]).tolist()
+            self.groups += [b"".join(texts[x:y])[:-1] for x, y in zip([0, *stops], stops)]
         self.index.update(zip(words, range(len(self.index), len(self.index) + n)))
         self.numbers = np.concatenate([self.numbers, new], 1)
         self.keys = np.concatenate([self.keys, keys])
         self.until = np.concatenate([self.until, self.until[-1] + np.cumsum(links)])
-        self.size += int(sum(map(len, raw)))
+        self.size += int(sizes.sum())
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Words of all texts, as numbers, and how many each text has; texts without tokens have none."""
@@ -228,20 +257,30 @@ class Words:
     def pairs(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs linked in these texts, and in how many of them."""
         text = np.repeat(np.arange(len(counts)), counts)
-        text, at = np.divmod(np.unique(text * len(self.index) + at), max(1, len(self.index)))
+        text, at = np.divmod(_distinct(text * len(self.index) + at), max(1, len(self.index)))
         n = self.until[at + 1] - self.until[at]
         keys = self.keys[np.arange(int(n.sum())) + np.repeat(self.until[at] - np.cumsum(n) + n, n)].astype(np.int64)
-        text = np.repeat(text, n)
-        kinds, number = np.unique(keys, return_inverse=True)
-        once = np.unique(text * max(1, len(kinds)) + number) % max(1, len(kinds))
-        return kinds, np.bincount(once, minlength=len(kinds))
+        found = _distinct(np.repeat(text, n) << 32 | keys) & (1 << 32) - 1
+        found.sort()
+        first = _first(found)
+        return found[first], np.diff(np.append(first, len(found)))
+
+
+def _first(ordered: np.ndarray) -> np.ndarray:
+    """Where each different value of a sorted array begins."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    ordered = np.sort(values)
+    return ordered[_first(ordered)]
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    first = _first(keys)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
