@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillflow.operators import dimension, monitor, reconcile
-from tillflow.plans.product import current_version, run_dimension
-from tillflow.sources import readers, writers
+from tillflow.plans.product import current_version, read_runs, run_dimension
+from tillflow.sources import readers
 
 
 def product(sku, price=1.0, day=1, **over):
@@ -58,17 +58,37 @@ def test_all_landed_pages_are_read(spark, tmp_path):
     assert sorted(r.page for r in readers.read_pages(spark, str(tmp_path)).collect()) == [1, 1, 2, 2, 3]
 
 
-def test_dimension_runs_move_the_mark(spark, tmp_path):
+def test_dimension_runs_take_every_page_file_once(spark, tmp_path):
     root, feed = str(tmp_path / "silver"), tmp_path / "feed"
+    assert run_dimension(spark, root, str(feed))["status"] == "no_data" and current_version(spark, root) == (0, None)
     write_pages(feed, {1: [product("A", 1, 3), product("B", -1, 9)]})
-    assert run_dimension(spark, root, str(feed))["valid_records"] == 1
-    assert writers.load_mark(spark, f"{root}/product_dimension/_mark").startswith("2024-01-03")
-    assert run_dimension(spark, root, str(feed))["valid_records"] == 1  # a change at the mark is taken again
-    write_pages(feed, {2: [product("A", 7, 5), product("C", 2, 6)]})
-    assert run_dimension(spark, root, str(feed))["valid_records"] == 3
+    first = run_dimension(spark, root, str(feed))
+    assert (first["valid_records"], first["version"], first["mark"][:10]) == (1, 1, "2024-01-03")
+    again = run_dimension(spark, root, str(feed))
+    assert (again["status"], again["valid_records"], again["version"]) == ("no_data", 0, 1)
+    # a tie with the mark arrives later and is taken, what is older is not
+    write_pages(feed, {2: [product("A", 7, 3), product("C", 2, 6), product("D", 2, 1)]})
+    assert run_dimension(spark, root, str(feed))["valid_records"] == 2
+    write_pages(feed, {3: [product("E", -1, 9), "{"]})
+    bad = run_dimension(spark, root, str(feed))
+    assert (bad["status"], bad["invalid_records"], bad["version"], bad["mark"][:10]) == ("no_data", 2, 2, "2024-01-06")
     version, table = current_version(spark, root)
-    assert version == 3 and {r.sku: r.unit_price for r in table.collect()} == {"A": 7.0, "C": 2.0}
-    assert spark.read.parquet(f"{root}/quarantine/sku_api").select("sku").distinct().count() == 1
+    assert version == 2 and {r.sku: r.unit_price for r in table.collect()} == {"A": 7.0, "C": 2.0}
+    assert sorted((r.run, r.sku) for r in spark.read.parquet(f"{root}/quarantine/sku_api").select("run", "sku").collect() if r.sku) == [(1, "B"), (3, "E")]
+    assert {r.run for r in read_runs(spark, root).collect()} == {1, 2, 3}
+
+
+def test_a_failed_dimension_run_is_repeated_whole(spark, tmp_path, monkeypatch):
+    from tillflow.plans import product as plan
+    root, feed = str(tmp_path / "silver"), tmp_path / "feed"
+    write_pages(feed, {1: [product("A", 1, 3), product("B", -1, 9)]})
+    monkeypatch.setattr(plan.dimension, "upsert_scd1", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_dimension(spark, root, str(feed))
+    assert current_version(spark, root) == (0, None)
+    monkeypatch.undo()
+    assert run_dimension(spark, root, str(feed))["version"] == 1
+    assert spark.read.parquet(f"{root}/quarantine/sku_api").count() == 1
 
 
 @pytest.mark.parametrize("expected, actual, pct, status", [
@@ -119,8 +139,8 @@ def test_missing_path_is_none_and_other_errors_raise(spark, tmp_path):
 def test_read_any(spark, tmp_path):
     (tmp_path / "one.json").write_text('{"event_id":"a"}')
     (tmp_path / "many.json").write_text('[{"event_id":"a"},\n{"event_id":"b"}]')
-    assert readers.read_any(spark, str(tmp_path / "one.json"), "event_id string").count() == 1
-    assert readers.read_any(spark, str(tmp_path / "many.json"), "event_id string").count() == 2
+    assert readers.read_any(spark, str(tmp_path / "one.json")).count() == 1
+    assert [r.e for r in readers.read_any(spark, str(tmp_path / "many.json")).selectExpr("record:event_id::string AS e").collect()] == ["a", "b"]
     with pytest.raises(ValueError):
         readers.read_any(spark, "x.txt")
 

@@ -43,6 +43,13 @@ def lacks_required(df: DataFrame, source: str) -> Column:
     return verdict
 
 
+def flag_required(df: DataFrame, source: str) -> DataFrame:
+    """All rows with ``valid`` and, where a required field lacks, the error and the names of the missing fields."""
+    bad = lacks_required(df, source)
+    return df.withColumns({"valid": ~bad, "_validation_error": F.when(bad, F.lit(MISSING_REQUIRED)),
+                           "_missing_fields": F.when(bad, F.array_join(missing_fields(df, source), ","))})
+
+
 def split_required(df: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rows for quarantine with the error and the names of the missing fields).
 

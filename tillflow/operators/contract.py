@@ -1,10 +1,10 @@
 """Contract checks on events: every violated rule of every event, as an array of codes.
 
 Codes are ``missing:path``, ``type:path``, ``enum:path``, ``minimum:path``, ``min_items:path`` and, on request,
-``bad_timestamp:path``, in the order of the contract. An event is parsed once, into a struct whose leaves are VARIANT
-values: they keep the JSON type, and an explicit null differs from an absent field. Contract and business rules then
-only compare the types, numbers and texts of those leaves. ``open_text`` does this for JSON text, ``open_row`` for raw
-and bronze rows.
+``bad_timestamp:path``, in the order of the contract; ``type:$`` is no JSON object, ``unparsable:$`` one that repeats a name
+in a nested object. An event is parsed once, into a VARIANT: it keeps the JSON types, and an explicit null differs from an
+absent field. Landing keeps that VARIANT in the raw rows, so contract, rules and drift read fields of it and parse nothing
+(``open_event``). ``open_text`` parses JSON text first, ``open_row`` is for typed columns without their whole event.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def _leaf(path: str) -> str:
 
 
 def _is_typed(fields: Sequence[Field], f: Field) -> bool:
-    """Required containers are parsed into their fields; optional ones are mostly absent and stay one VARIANT."""
+    """Required containers have their fields checked one by one."""
     return f.required and bool(_children(fields, f))
 
 
@@ -67,8 +67,40 @@ def _get(node: str, path: str, kind: str = "variant") -> str:
     return f"try_variant_get({node}, '$.{path}', '{kind}')" if path else f"try_variant_get({node}, '$', '{kind}')"
 
 
+def open_event(df: DataFrame, event: str, contract: str | Sequence[Field], is_object: Column | None = None) -> Opened:
+    """Reads the fields of a contract from a VARIANT column; ``is_object`` tells the rows that are a JSON object."""
+    fields = [f for f in _fields(contract) if "[]." not in f.path]
+    helpers = {f.path: f"_c{i}" for i, f in enumerate(fields)}
+    columns: dict[str, str] = {}
+    for f in fields:
+        prefix = helpers[f.path]
+        node = _get(f"`{event}`", f.path)
+        if f.kind == "array":
+            elements = _get(f"`{event}`", f.path, "array<variant>")
+            columns |= {f"{prefix}_type": f"CASE WHEN {elements} IS NOT NULL THEN 'ARR' ELSE {_type(node)} END", f"{prefix}_elements": elements,
+                        f"{prefix}_size": f"size({elements})"}
+            continue
+        columns[f"{prefix}_type"] = _type(node)
+        if f.kind in ("integer", "number"):
+            columns[f"{prefix}_number"] = _get(f"`{event}`", f.path, "double")
+        if f.kind == "string":
+            columns[f"{prefix}_text"] = _get(f"`{event}`", f.path, "string")
+    marked = df.withColumns({"_is_object": F.col(event).isNotNull() if is_object is None else is_object, "_is_parsed": F.col(event).isNotNull()})
+    staged = marked.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
+    return Opened(staged, helpers, [*columns, "_is_object", "_is_parsed"])
+
+
+def open_text(df: DataFrame, text: str, contract: str | Sequence[Field]) -> Opened:
+    """Reads the fields of a contract from a column of JSON text."""
+    parsed = df.withColumn("_event", D.event_variant(F.col(text)))
+    # an object without a VARIANT repeats a name further in; only such texts are looked at again
+    opened = open_event(parsed, "_event", contract, F.when(F.col("_event").isNotNull(), F.lit(True)).otherwise(D.is_json_object(F.col(text))))
+    opened.names.append("_event")
+    return opened
+
+
 def _leaf_parts(node: str, f: Field, prefix: str) -> dict[str, str]:
-    """SQL of the helper columns of one field."""
+    """SQL of the helper columns of one field inside a nested column."""
     parts = {f"{prefix}_type": _type(node)}
     if f.kind in ("integer", "number"):
         parts[f"{prefix}_number"] = _get(node, "", "double")
@@ -77,74 +109,36 @@ def _leaf_parts(node: str, f: Field, prefix: str) -> dict[str, str]:
     return parts
 
 
-def _assemble(df: DataFrame, fields: Sequence[Field], top: Callable[[Field, str], dict[str, str]],
-              container: Callable[[Field], str], extra: Sequence[str]) -> Opened:
-    """Helper columns of all fields. ``top`` gives those of a top-level field, ``container`` the parsed container."""
-    plain = [f for f in fields if "[]." not in f.path]
-    helpers = {f.path: f"_c{i}" for i, f in enumerate(plain)}
-    columns: dict[str, str] = {}
-    for f in plain:
-        if "." in f.path:
-            parent = next(p for p in plain if p.path == f.path.split(".")[0])
-            owner, leaf = container(parent), _leaf(f.path)
-            node = f"{owner}.`{leaf}`" if _is_typed(fields, parent) else _get(owner, leaf)
-            columns.update(_leaf_parts(node, f, helpers[f.path]))
-        else:
-            columns.update(top(f, helpers[f.path]))
-    staged = df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
-    return Opened(staged, helpers, [*columns, *extra])
-
-
-def open_text(df: DataFrame, text: str, contract: str | Sequence[Field]) -> Opened:
-    """Reads the fields of a contract from a column of JSON text."""
-    fields = _fields(contract)
-    tops = [f for f in fields if "." not in f.path]
-    schema = ",".join(f"`{f.path}` " + (_container_schema(fields, f) if _is_typed(fields, f) else "variant") for f in tops)
-    parsed = df.withColumns({"_event": F.from_json(text, schema), "_is_object": D.is_json_object(F.col(text))})
-
-    def container(f: Field) -> str:
-        return f"_event.`{f.path}`"
-
-    def top(f: Field, prefix: str) -> dict[str, str]:
-        node = container(f)
-        if not _is_typed(fields, f):
-            return _leaf_parts(node, f, prefix)
-        # a container of another shape parses to null; only then its type is looked up in the text
-        other = _type(_get(f"try_parse_json(`{text}`)", f.path))
-        parts = {f"{prefix}_type": f"CASE WHEN {node} IS NOT NULL THEN '{D.CODES[f.kind][0]}' ELSE {other} END"}
-        if f.kind == "array":
-            parts[f"{prefix}_elements"] = node
-            parts[f"{prefix}_size"] = (f"CASE WHEN {node} IS NOT NULL THEN size({node}) "
-                                       f"ELSE json_array_length(get_json_object(`{text}`, '$.{f.path}')) END")
-        return parts
-
-    return _assemble(parsed, fields, top, container, ["_event", "_is_object"])
-
-
 # type codes of Spark's column types
 COLUMN_CODES = {"string": "STR", "boolean": "BOO", "integer": "BIG", "long": "BIG", "double": "DOU"}
 
 
 def open_row(df: DataFrame, source: str) -> Opened:
-    """Reads the fields of a source's contract from raw or bronze columns.
+    """Reads the fields of a source's contract from typed raw or bronze columns, for rows that come without their whole event.
 
     Plain columns have their type already; a null is an absent field. Nested parts are JSON text: text that is no JSON
     stays a string, so the contract reports a wrong type.
     """
     fields = _fields(source)
     nested = [f for f in fields if f.path in NESTED_COLUMNS[source] and f.path in df.columns]
-    staged = {"_is_object": F.lit(True)}
+    staged = {"_is_object": F.lit(True), "_is_parsed": F.lit(True)}
     for f in nested:
         text = F.col(f"`{f.path}`")
-        staged[f"_n_{f.path}"] = (F.from_json(text, _container_schema(fields, f)) if _is_typed(fields, f)
+        staged[f"_n_{f.path}"] = (F.from_json(text, _container_schema(fields, f)) if f.kind == "object" and _is_typed(fields, f)
                                   else F.try_parse_json(text))
         staged[f"_whole_{f.path}"] = D.is_whole_json(text)
     parsed = df.withColumns(staged)
-
-    def container(f: Field) -> str:
-        return f"_n_{f.path}" if f in nested else "CAST(NULL AS VARIANT)"
-
-    def top(f: Field, prefix: str) -> dict[str, str]:
+    plain = [f for f in fields if "[]." not in f.path]
+    helpers = {f.path: f"_c{i}" for i, f in enumerate(plain)}
+    columns: dict[str, str] = {}
+    for f in plain:
+        prefix = helpers[f.path]
+        if "." in f.path:
+            parent = next(p for p in plain if p.path == f.path.split(".")[0])
+            owner, leaf = f"_n_{parent.path}" if parent in nested else "CAST(NULL AS VARIANT)", _leaf(f.path)
+            typed = _is_typed(fields, parent) and parent in nested
+            columns |= _leaf_parts(f"{owner}.`{leaf}`" if typed else _get(owner, leaf), f, prefix)
+            continue
         column = f"`{f.path}`" if f.path in df.columns else "CAST(NULL AS STRING)"
         if f in nested:
             code = (f"CASE WHEN {column} IS NULL THEN NULL WHEN NOT _whole_{f.path} THEN 'STR' "
@@ -155,17 +149,16 @@ def open_row(df: DataFrame, source: str) -> Opened:
             code = f"CASE WHEN {column} IS NOT NULL THEN '{known}' END"
         else:
             code = column
-        parts = {f"{prefix}_type": code}
+        columns[f"{prefix}_type"] = code
         if f.kind in ("integer", "number"):
-            parts[f"{prefix}_number"] = f"try_cast({column} AS DOUBLE)"
+            columns[f"{prefix}_number"] = f"try_cast({column} AS DOUBLE)"
         if f.kind == "string":
-            parts[f"{prefix}_text"] = f"CAST({column} AS STRING)"
+            columns[f"{prefix}_text"] = f"CAST({column} AS STRING)"
         if f.kind == "array":
-            parts[f"{prefix}_elements"] = container(f)
-            parts[f"{prefix}_size"] = f"json_array_length({column})"
-        return parts
-
-    return _assemble(parsed, fields, top, container, list(staged))
+            columns[f"{prefix}_elements"] = _get(f"_n_{f.path}", "", "array<variant>") if f in nested else "CAST(NULL AS ARRAY<VARIANT>)"
+            columns[f"{prefix}_size"] = f"json_array_length({column})"
+    opened = parsed.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
+    return Opened(opened, helpers, [*columns, *staged])
 
 
 def _quoted(values: Sequence[str]) -> str:
@@ -224,21 +217,25 @@ def contract_text(opened: Opened, contract: str | Sequence[Field], mode: str = L
         if f.kind == "array" and _is_typed(fields, f):
             text = _element_text(f"{prefix}_elements", f, _children(fields, f), mode, check_formats, tag)
             found.append(f"CASE WHEN {prefix}_type = 'ARR' THEN {text} END")
-    return F.expr(f"CASE WHEN _is_object THEN concat_ws('{SEPARATOR}', {', '.join(found)}) ELSE '{tag}type:$' END")
+    listed = f"concat_ws('{SEPARATOR}', {', '.join(found)})"
+    return F.expr(f"CASE WHEN NOT _is_object THEN '{tag}type:$' WHEN NOT _is_parsed THEN '{tag}unparsable:$' ELSE {listed} END")
 
 
 def _element_text(elements: str, parent: Field, children: Sequence[Field], mode: str, check_formats: bool, tag: str) -> str:
     """SQL of the distinct violations over all elements of an array, null when every element is fine.
 
-    The codes are only put together for arrays with a bad element; most events stop at the ``exists``. An array that
-    did not parse into objects has an element of another type.
+    The codes are only put together for arrays with a bad element; most events stop at the ``exists``. An array with an
+    element that is no object has that one violation.
     """
-    shape, good, codes = ["e IS NULL AS gone"], [], []
+    sure = next((c for c in children if c.required), children[0])
+    # a field that is there tells an object; only elements without it have their type looked up
+    shape = [f"CASE WHEN {_get('e', _leaf(sure.path))} IS NULL THEN coalesce({_type('e')} <> 'OBJ', true) ELSE false END AS gone"]
+    good, codes = [], []
     for i, child in enumerate(children):
-        value, type_, number = f"e.`{_leaf(child.path)}`", f"s.f{i}_type", f"s.f{i}_number"
+        value, type_, number = _get("e", _leaf(child.path)), f"s.f{i}_type", f"s.f{i}_number"
         shape.append(f"{_type(value)} AS f{i}_type")
         if child.minimum is not None or child.kind == "integer":
-            shape.append(f"{_get(value, '', 'double')} AS f{i}_number")
+            shape.append(f"{_get('e', _leaf(child.path), 'double')} AS f{i}_number")
         ok = _fits(child, type_, number)
         if child.minimum is not None:
             ok = f"({ok} AND {number} >= {child.minimum})"
@@ -248,11 +245,11 @@ def _element_text(elements: str, parent: Field, children: Sequence[Field], mode:
         codes += _codes(child, f"s.f{i}", mode, check_formats, tag)
     wrong = f"'{tag}type:{parent.path}[]'"
     shapes = f"transform({elements}, e -> struct({', '.join(shape)}))"
-    listed = f"transform({shapes}, s -> CASE WHEN s.gone THEN {wrong} ELSE concat_ws('{SEPARATOR}', {', '.join(codes)}) END)"
+    listed = f"transform({shapes}, s -> concat_ws('{SEPARATOR}', {', '.join(codes)}))"
     joined = f"array_join(filter({listed}, t -> t <> ''), '{SEPARATOR}')"
     distinct = f"array_join(array_distinct(split({joined}, '{SEPARATOR}')), '{SEPARATOR}')"
-    return (f"CASE WHEN {elements} IS NULL THEN {wrong} "
-            f"WHEN exists({shapes}, s -> s.gone OR NOT ({' AND '.join(good)})) THEN {distinct} END")
+    return (f"CASE WHEN {elements} IS NULL OR exists({shapes}, s -> s.gone) THEN {wrong} "
+            f"WHEN exists({shapes}, s -> NOT ({' AND '.join(good)})) THEN {distinct} END")
 
 
 def as_array(text: Column) -> Column:

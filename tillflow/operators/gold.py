@@ -75,6 +75,12 @@ def hourly_spikes(hourly: DataFrame, threshold_pct: float = 100.0) -> DataFrame:
         "direction", F.when(F.col("revenue_change_pct") > 0, "up").otherwise("down"))
 
 
+def latest_stock_by_day(silver_inventory: DataFrame) -> DataFrame:
+    """The latest movement of every (store, sku) of a day, with what the snapshot needs: parts that combine by the same rule."""
+    parts = silver_inventory.select("event_date", "event_id", "event_ts", "store_id", "sku", "quantity_on_hand", "reorder_point", "below_reorder", "location")
+    return latest_per_key(parts, ["event_date", "store_id", "sku"], [F.col("event_ts").desc(), F.col("event_id").desc()])
+
+
 def inventory_snapshot(silver_inventory: DataFrame, daily_velocity: float = 10.0, stamp: bool = True) -> DataFrame:
     """Latest stock level of every (store, sku); ties on time go to the higher event id."""
     latest = latest_per_key(silver_inventory, ["store_id", "sku"], [F.col("event_ts").desc(), F.col("event_id").desc()])

@@ -19,9 +19,8 @@ def lag_report(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def layer_counts(files: DataFrame) -> DataFrame:
-    """Files and records per layer from one row per record with ``layer, file``; folded per file first."""
-    per_file = files.groupBy("layer", "file").agg(F.count("*").alias("records"))
-    return per_file.groupBy("layer").agg(F.count("*").alias("file_count"), F.sum("records").alias("record_count"))
+    """Files and records per layer from one row per file with ``layer, file, records``; unreadable files count as files."""
+    return files.groupBy("layer").agg(F.count("*").alias("file_count"), F.coalesce(F.sum("records"), F.lit(0)).alias("record_count"))
 
 
 def latency_percentiles(bronze: DataFrame, by: str = "_kafka_topic") -> DataFrame:
@@ -41,17 +40,25 @@ def latency_percentiles(bronze: DataFrame, by: str = "_kafka_topic") -> DataFram
 def schema_drift(events: DataFrame, source: str, text: str = "value") -> DataFrame:
     """Fields seen in the events against the contract: field, expected and seen type, how many records, kind of drift.
 
-    ``new_field`` is not in the contract, ``type_changed`` carries another JSON type, ``null_value`` an explicit null.
+    ``new_field`` is not in the contract, ``type_changed`` carries another JSON type, ``null_value`` an explicit null. Objects
+    whose fields cannot be told apart, as they repeat names inside, are counted in a line of their own: field ``$``,
+    ``unparsable``. ``text`` is JSON text, or a VARIANT column as raw rows hold it (null: unparsable).
     """
     expected = {f.path: f.kind for f in CONTRACTS[source] if "." not in f.path and "[]" not in f.path}
-    documents = events.select(D.parse_object(F.col(text)).alias("_document"))
-    fields = documents.select(F.explode(F.expr("try_cast(_document as map<string, variant>)")).alias("field", "_value"))
+    if events.schema[text].dataType.typeName() == "variant":
+        documents = events.select(F.col(text).alias("_document"), F.lit(True).alias("_is_object"))
+    else:
+        parsed = events.select(F.col(text).alias("_text"), D.event_variant(F.col(text)).alias("_document"))
+        documents = parsed.select("_document", F.when(F.col("_document").isNotNull(), F.lit(True)).otherwise(D.is_json_object(F.col("_text"))).alias("_is_object"))
+    seen_fields = F.expr("try_cast(_document as map<string, variant>)")
+    none = F.when(F.col("_is_object"), F.expr("map('$', cast(null as variant))"))
+    fields = documents.select(F.explode(F.coalesce(seen_fields, none)).alias("field", "_value"))
     codes = fields.groupBy("field", D.type_code(F.col("_value")).alias("_code")).agg(F.count("*").alias("n"))
     seen = codes.groupBy("field", D.json_type(F.col("_code")).alias("seen_type")).agg(F.sum("n").alias("records"))
     contract = F.create_map(*[F.lit(x) for pair in expected.items() for x in pair])
     out = seen.withColumn("expected_type", F.try_element_at(contract, F.col("field")))
     same = (F.col("seen_type") == F.col("expected_type")) | (
         (F.col("seen_type") == "integer") & (F.col("expected_type") == "number"))
-    drift = (F.when(F.col("expected_type").isNull(), "new_field").when(F.col("seen_type") == "null", "null_value")
+    drift = (F.when((F.col("field") == "$") & F.col("seen_type").isNull(), "unparsable").when(F.col("expected_type").isNull(), "new_field").when(F.col("seen_type") == "null", "null_value")
              .when(~same, "type_changed").otherwise("none"))
     return out.select("field", "expected_type", "seen_type", "records", drift.alias("drift"))

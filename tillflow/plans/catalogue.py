@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.fingerprint import record_hash
 from ..operators import bronze, dimension, gold, monitor, quality, reconcile, rules, silver
-from ..operators.contract import SEPARATOR, check_contract, open_row
-from ..session import pin_utc, scratch_dir
-from ..sources import readers, retail_inputs as inputs
+from ..operators.contract import SEPARATOR, as_array, check_contract, contract_text, open_event, open_row
+from ..session import scratch_dir, utc
+from ..sources import inventory as listing, readers, retail_inputs as inputs
 from ..sources.writers import write_table
 from ..streaming import envelope, landing, live
+from . import drops, medallion, product
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,12 +25,8 @@ AS_OF = "2024-01-31 00:00:00"
 
 
 def query(function: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pin_utc(spark)
-        return function(spark, sf_dir)
-    run.__name__, run.__doc__ = function.__name__, function.__doc__
-    QUERIES[function.__name__] = run
-    return run
+    QUERIES[function.__name__] = utc(function)
+    return QUERIES[function.__name__]
 
 
 def _bronze(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
@@ -305,7 +302,12 @@ def _drop_name(path: Column) -> Column:
 
 
 def _drop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_inventory_drop(spark, _drops(spark, sf_dir), _drop_name(F.col("_metadata.file_path")))
+    found = listing.list_files(spark, _drops(spark, sf_dir), footers=True, heads=True).collect()
+    return readers.read_drops(spark, found).select(_drop_name(F.col("file")).alias("file"), "record")
+
+
+def _field(name: str, kind: str = "string") -> Column:
+    return F.try_variant_get("record", f"$.{name}", kind).alias(name)
 
 
 @query
@@ -317,7 +319,82 @@ def file_gate(spark, sf_dir):
 @query
 def file_gate_rows(spark, sf_dir):
     records = _drop_records(spark, sf_dir)
-    return quality.accepted_records(records, quality.file_gate(records))
+    accepted = quality.accepted_records(records, quality.file_gate(records))
+    return accepted.select(_field("sku"), _field("store_id"), _field("quantity_on_hand"), "file")
+
+
+def _mixed_drops(spark: SparkSession, sf_dir: str) -> str:
+    """Drops of every shape: JSON lines (d0), arrays (d1), CSV in another column order with a further column (d2) and with few
+    stock levels (d3), Parquet with further columns (d4) and with long stock levels (d5), broken JSON (d6), text (d7), no bytes (d8)."""
+    path = scratch_dir(spark, "mixed-drops")
+    n, columns = F.col("n"), inputs.inventory_columns()
+    on_hand = F.when(~((n % 8 == 3) & (n % 5 != 0)), columns["quantity_on_hand"]).alias("quantity_on_hand")
+    rows = inputs.events(spark, sf_dir).withColumn("copy", F.lit(0)).select(
+        "n", F.concat(F.lit("d"), (n % 8).cast("string")).alias("drop_name"), columns["sku"].alias("sku"), "store_id", on_hand,
+        F.concat(F.lit("note, "), n.cast("string")).alias("note"), F.to_date("ts").cast("string").alias("day"))
+    drop, base = F.col("n") % 8, ["drop_name", "sku", "store_id", "quantity_on_hand"]
+    rows.where(drop == 0).select(*base, "note").write.partitionBy("drop_name").json(f"{path}/lines")
+    record = F.struct("note", F.struct("quantity_on_hand", "sku").alias("inside"), "store_id", "sku", "quantity_on_hand")
+    arrays = rows.where(drop == 1).groupBy("drop_name", "store_id", "day").agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.repartition("store_id", "day").write.partitionBy("drop_name", "store_id", "day").text(f"{path}/arrays")
+    for extension, kind in ((".json", "arrays"), (".json", "broken")):
+        if kind == "broken":
+            rows.where(drop == 6).select("drop_name", F.concat(F.lit('[{"sku":"'), "sku").alias("value")).write.partitionBy("drop_name").text(f"{path}/{kind}")
+        _rename(spark, f"{path}/{kind}", extension)
+    rows.where(drop == 2).select("drop_name", "store_id", "note", "quantity_on_hand", "sku").write.partitionBy("drop_name").option("header", True).csv(f"{path}/csv-2")
+    rows.where(drop == 3).select(base).write.partitionBy("drop_name").option("header", True).csv(f"{path}/csv-3")
+    rows.where(drop == 4).select(*base, "note").write.partitionBy("drop_name").parquet(f"{path}/parquet-4")
+    rows.where(drop == 5).select("drop_name", "sku", "store_id", F.col("quantity_on_hand").cast("bigint").alias("quantity_on_hand")).write.partitionBy(
+        "drop_name").parquet(f"{path}/parquet-5")
+    rows.where(drop == 7).select("drop_name", F.col("note").alias("value")).write.partitionBy("drop_name").text(f"{path}/text")
+    _touch(spark, f"{path}/none/drop_name=d8/empty.json")
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    """A file without bytes."""
+    files, name = _file_system(spark, path)
+    files.create(name).close()
+
+
+def _rename(spark: SparkSession, path: str, extension: str) -> None:
+    """Text files below a folder get another extension."""
+    files, folder = _file_system(spark, path)
+    found = files.listFiles(folder, True)
+    while found.hasNext():
+        name = found.next().getPath()
+        if name.getName().endswith(".txt"):
+            files.rename(name, spark._jvm.org.apache.hadoop.fs.Path(name.toString().removesuffix(".txt") + extension))
+
+
+@query
+def drop_pipeline(spark, sf_dir):
+    """What a load makes of dropped files: the staged records, and one row per reason of files that are not staged."""
+    root = scratch_dir(spark, "drop-run")
+    drops.run_drops(spark, root, _mixed_drops(spark, sf_dir))
+    staged = drops.read_staged(spark, root).select(
+        _drop_name(F.col("source")).alias("drop_name"), F.lit("accept").alias("verdict"), F.lit(None).cast("string").alias("reason"), _field("sku"),
+        _field("store_id"), _field("quantity_on_hand"), _field("note"), F.try_variant_get("record", "$.inside.sku", "string").alias("inside"))
+    refused = drops.read_verdicts(spark, root).where("verdict <> 'accept'").select(_drop_name(F.col("file")).alias("drop_name"), "verdict", "reason").distinct()
+    return staged.unionByName(refused, allowMissingColumns=True)
+
+
+@query
+def file_inventory(spark, sf_dir):
+    """One folder per day with Parquet files, and a file without bytes in each: counted from footers."""
+    path = scratch_dir(spark, "inventory")
+    days = inputs.events(spark, sf_dir).select("n", F.to_date("ts").cast("string").alias("day"))
+    write_table(days, path, "overwrite", ["day"])
+    for r in days.select("day").distinct().collect():
+        _touch(spark, f"{path}/day={r.day}/late.parquet")
+    day = F.regexp_extract("file", "day=([^/]+)", 1).alias("day")
+    return listing.list_files(spark, path, "*.parquet", footers=True).groupBy(day).agg(
+        F.sum("records").alias("records"), F.count_if(F.col("problem") == "empty").alias("empty_files"), F.count_if(F.col("size_bytes") == 0).alias("without_bytes"))
 
 
 @query
@@ -380,8 +457,8 @@ def layer_counts(spark, sf_dir):
     write_table(clean, f"{root}/silver/silver_pos", "overwrite")
     table = spark.read.schema(clean.schema).parquet(f"{root}/silver/silver_pos")
     write_table(gold.daily_sales(table), f"{root}/gold/daily_sales_by_store", "overwrite")
-    rows = readers.layer_rows(spark, root, ["raw", "processed", "silver", "gold"])
-    return monitor.layer_counts(rows).select("layer", "record_count")
+    files = readers.layer_files(spark, root, ["raw", "processed", "silver", "gold"])
+    return monitor.layer_counts(files).select("layer", "record_count")
 
 
 @query
@@ -415,6 +492,22 @@ def product_upsert(spark, sf_dir):
     return dimension.upsert_scd1(current, changes).select("sku", "unit_price", "active", "updated_at")
 
 
+@query
+def product_feed_runs(spark, sf_dir):
+    """The dimension after three runs: a feed, no news, and a feed whose records keep their time but cost two more."""
+    root, feed = scratch_dir(spark, "dimension"), scratch_dir(spark, "feed")
+    records = inputs.products(spark, sf_dir)
+    inputs.pages(records).write.text(f"{feed}/a")
+    product.run_dimension(spark, root, feed)
+    product.run_dimension(spark, root, feed)
+    price = F.get_json_object("record", "$.unit_price").cast("double")
+    dearer = F.regexp_replace("record", r'"unit_price":-?[0-9.E]+', F.concat(F.lit('"unit_price":'), F.format_string("%.2f", price + 2)))
+    inputs.pages(records.where(price > 0).withColumn("record", dearer)).write.text(f"{feed}/b")
+    product.run_dimension(spark, root, feed)
+    version, rows = product.current_version(spark, root)
+    return rows.select("sku", "unit_price", "updated_at", F.lit(version).cast("int").alias("version"))
+
+
 # ---- streaming --------------------------------------------------------------------------------------------------------
 
 
@@ -510,3 +603,85 @@ def stream_hourly_sales(spark, sf_dir):
     root = scratch_dir(spark, "hourly")
     hours = live.hourly_sales_stream(live.dedup_stream(_typed_sales(spark, sf_dir, root)), delay=None)
     return _sink(hours, root).withColumn("hour_start", _utc("hour_start"))
+
+
+# ---- layer runs -------------------------------------------------------------------------------------------------------
+
+
+def _land(spark: SparkSession, root: str, messages: DataFrame, folder: str) -> None:
+    messages.write.parquet(f"{root}/topics/{folder}")
+    _run(landing.land_raw(envelope.read_files(spark, f"{root}/topics"), root, f"{root}/_checkpoint", once=True))
+
+
+def _twice_landed(spark: SparkSession, sf_dir: str, sources: tuple[str, ...], step: Callable[[str], object]) -> str:
+    """Originals land and are taken through ``step``, then the second copies; every other copy is of an event time three days earlier."""
+    root = scratch_dir(spark, "lake")
+    for copies in (False, True):
+        for source in sources:
+            messages = inputs.late_envelope(spark, sf_dir, source).where((F.col("offset") >= inputs.MICROS) == F.lit(copies))
+            _land(spark, root, messages, f"{source}-{copies}")
+        step(root)
+    return root
+
+
+@query
+def contract_from_raw(spark, sf_dir):
+    """The contract read from the VARIANT that landing keeps: as contract_pos, for messages that are events."""
+    root = scratch_dir(spark, "raw-contract")
+    _land(spark, root, inputs.envelope(spark, sf_dir, "pos"), "pos")
+    opened = open_event(readers.read_raw(spark, f"{root}/raw", "pos"), "_event", "pos", F.lit(True))
+    return opened.df.select(F.col("_kafka_topic").alias("topic"), F.col("_kafka_offset").alias("offset"), _text_of(contract_text(opened, "pos")))
+
+
+def _text_of(codes: Column) -> Column:
+    return F.array_join(as_array(codes), SEPARATOR).alias("violations")
+
+
+@query
+def pipeline_bronze(spark, sf_dir):
+    """Bronze after two runs of old and new files, refused rows included, with a field read from the whole event."""
+    root = _twice_landed(spark, sf_dir, ("pos",), lambda r: medallion.run_bronze(spark, r, ["pos"]))
+    good = readers.read_bronze(spark, f"{root}/processed", "pos", keep=["load"]).withColumn("_validation_error", F.lit(None).cast("string"))
+    bad = readers.read_quarantine(spark, f"{root}/processed", "bronze", "pos").drop("_missing_fields")
+    return good.unionByName(bad).select("event_id", "_kafka_offset", "load", "event_date", "_validation_error",
+                                        F.try_variant_get("_event", "$.terminal_id", "string").alias("terminal_id"))
+
+
+def _silver_run(spark: SparkSession, sources: tuple[str, ...]) -> Callable[[str], object]:
+    def step(root: str) -> None:
+        medallion.run_bronze(spark, root, sources)
+        medallion.run_silver(spark, root, sources)
+    return step
+
+
+@query
+def pipeline_silver(spark, sf_dir):
+    """Silver after two runs, the second with copies that move events to earlier days; refused rows with their error."""
+    root = _twice_landed(spark, sf_dir, ("pos",), _silver_run(spark, ("pos",)))
+    good = readers.read_silver(spark, f"{root}/silver", "pos").withColumn("_validation_error", F.lit(None).cast("string"))
+    both = good.unionByName(readers.read_quarantine(spark, f"{root}/silver", "silver", "pos"))
+    return both.select("event_id", "event_date", "store_id", "total_amount", "_validation_error")
+
+
+def _gold_run(spark: SparkSession, sources: tuple[str, ...]) -> Callable[[str], object]:
+    silver_step = _silver_run(spark, sources)
+
+    def step(root: str) -> None:
+        silver_step(root)
+        medallion.run_gold(spark, root)
+    return step
+
+
+@query
+def pipeline_gold(spark, sf_dir):
+    """Daily sales after two runs, of which the second rebuilds the days that late copies touch: equal to one full build."""
+    root = _twice_landed(spark, sf_dir, ("pos",), _gold_run(spark, ("pos",)))
+    return readers.read_gold(spark, f"{root}/gold", "daily_sales_by_store").select(
+        "event_date", "store_id", "transaction_count", "gross_revenue", "total_items_sold", "unique_cashiers", "payment_methods_used")
+
+
+@query
+def pipeline_stock(spark, sf_dir):
+    """The stock snapshot after two runs, combined from the latest levels of each day."""
+    root = _twice_landed(spark, sf_dir, ("inventory",), _gold_run(spark, ("inventory",)))
+    return readers.read_gold(spark, f"{root}/gold", "inventory_snapshot").drop("_gold_ts").withColumn("event_ts", _utc("event_ts"))

@@ -204,6 +204,11 @@ def nullable_json(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN 'null' ELSE '\"' || {column} || '\"' END"
 
 
+# second copies of every twentieth event are of a time three days earlier
+LATE = POS + """,
+late AS (SELECT *, CASE WHEN copy = 1 AND n % 20 = 0 THEN event_ts - INTERVAL 3 DAY ELSE event_ts END AS moved FROM pos)
+"""
+
 ORACLE: dict[str, str] = {
     "bronze_metadata": f"WITH {POS} SELECT event_id, off AS _kafka_offset, 'pos' AS _source_name, event_date, event_hour FROM pos",
     "bronze_required_valid": f"""WITH {POS} SELECT event_id, off AS _kafka_offset, store_id, transaction_id FROM pos
@@ -340,6 +345,9 @@ ORACLE: dict[str, str] = {
     "product_upsert": f"""WITH {PRODUCTS} SELECT sku, CASE WHEN p % 3 = 0 THEN new_price ELSE unit_price END AS unit_price, active,
         strftime(CASE WHEN p % 3 = 0 THEN changed + 90 ELSE changed END, '%Y-%m-%d') || 'T00:00:00+00:00' AS updated_at
         FROM prod WHERE p % 37 <> 0""",
+    "product_feed_runs": f"""WITH {PRODUCTS}, good AS (SELECT * FROM prod WHERE p % 37 <> 0)
+        SELECT sku, CASE WHEN changed = (SELECT MAX(changed) FROM good) THEN round(unit_price + 2, 2) ELSE unit_price END AS unit_price,
+        strftime(changed, '%Y-%m-%d') || 'T00:00:00+00:00' AS updated_at, CAST(2 AS INTEGER) AS version FROM good""",
     "stream_decode_split": f"""WITH {EVENTS}, messages AS ({per_topic(
         "SELECT n, off, '{topic}' AS topic, '{source}' AS source, CAST(n % {width} AS INTEGER) AS part FROM marked")})
         SELECT CASE WHEN {FAULTY} THEN 'dead' ELSE 'event' END AS kind, topic, part AS "partition", off AS "offset",
@@ -364,4 +372,33 @@ ORACLE: dict[str, str] = {
         hours AS (SELECT date_trunc('hour', ts) AS hour_start, store_id, COUNT(transaction_id) AS transaction_count,
                   {money('total_amount')} AS hourly_revenue FROM sales GROUP BY ALL)
         SELECT * FROM hours WHERE hour_start + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM sales) - INTERVAL 1 HOUR""",
+    "contract_from_raw": contract("pos", POS, "pos", POS_CODES) + f" WHERE NOT {FAULTY}",
+    "pipeline_bronze": f"""WITH {LATE} SELECT event_id, off AS _kafka_offset, CAST(copy + 1 AS BIGINT) AS "load", CAST(moved AS DATE) AS event_date,
+        CASE WHEN transaction_id IS NULL THEN 'missing_required_field' END AS _validation_error, terminal_id FROM late""",
+    "pipeline_silver": f"""WITH {LATE} SELECT event_id, CAST(moved AS DATE) AS event_date, store_id, total_amount, nullif({codes(
+        ('null:event_ts', 'moved IS NULL'), ('null:total_amount', 'total_amount IS NULL'), ('null:event_date', 'moved IS NULL'), sep=',')}, '') AS _validation_error
+        FROM late WHERE latest AND transaction_id IS NOT NULL""",
+    "pipeline_gold": f"""WITH {LATE} SELECT CAST(moved AS DATE) AS event_date, store_id, COUNT(*) AS transaction_count, {money('total_amount')} AS gross_revenue,
+        CAST(SUM(item_count + CASE WHEN n % 103 = 0 AND n % 89 <> 0 THEN 1 + CASE WHEN n % 2 = 0 THEN 1 ELSE 0 END ELSE 0 END) AS BIGINT) AS total_items_sold,
+        COUNT(DISTINCT cashier_id) AS unique_cashiers, COUNT(DISTINCT payment_method) AS payment_methods_used
+        FROM late WHERE latest AND transaction_id IS NOT NULL AND event_type = 'sale' AND total_amount >= 0 AND moved IS NOT NULL GROUP BY 1, 2""",
+    "pipeline_stock": f"""WITH {INVENTORY}, late AS (
+        SELECT *, CASE WHEN copy = 1 AND n % 20 = 0 THEN event_ts - INTERVAL 3 DAY ELSE event_ts END AS moved FROM inv),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY store_id, sku ORDER BY moved DESC, event_id DESC) AS place FROM late
+                   WHERE latest AND moved IS NOT NULL)
+        SELECT store_id, sku, quantity_on_hand, reorder_point, quantity_on_hand <= reorder_point AS below_reorder, location, moved AS event_ts,
+        CASE WHEN quantity_on_hand > 0 THEN CAST(quantity_on_hand AS DOUBLE) / 10 ELSE CAST(0 AS DOUBLE) END AS days_of_stock_remaining
+        FROM ranked WHERE place = 1""",
+    "drop_pipeline": f"""WITH {EVENTS}, shaped AS (SELECT n, 'd' || (n % 8) AS drop_name, n % 8 AS d, 'SKU-' || k AS sku, store_id,
+               CASE WHEN NOT (n % 8 = 3 AND n % 5 <> 0) THEN CAST(CAST(CASE WHEN n % 67 = 0 THEN -3 WHEN n % 13 = 0 THEN 0 ELSE floor(v) END AS INTEGER) AS VARCHAR) END
+               AS quantity_on_hand FROM ev),
+        rates AS (SELECT drop_name, CAST(COUNT(quantity_on_hand) AS DOUBLE) / COUNT(*) * 100 AS rate FROM shaped WHERE d = 3 GROUP BY drop_name)
+        SELECT drop_name, 'accept' AS verdict, NULL AS reason, sku, store_id, quantity_on_hand,
+               CASE WHEN d IN (0, 1, 2, 4) THEN 'note, ' || n END AS note, CASE WHEN d = 1 THEN sku END AS inside FROM shaped WHERE d IN (0, 1, 2, 4, 5)
+        UNION ALL SELECT drop_name, 'reject', 'low_pass_rate_' || CAST(round_even(rate, 0) AS INTEGER) || 'pct', NULL, NULL, NULL, NULL, NULL FROM rates
+        UNION ALL SELECT DISTINCT drop_name, CASE WHEN d = 6 THEN 'skip' ELSE 'reject' END, CASE WHEN d = 6 THEN 'no_records' ELSE 'unsupported_format' END,
+                  NULL, NULL, NULL, NULL, NULL FROM shaped WHERE d IN (6, 7)
+        UNION ALL SELECT 'd8', 'skip', 'empty_file', NULL, NULL, NULL, NULL, NULL""",
+    "file_inventory": f"""WITH {EVENTS} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS records, CAST(1 AS BIGINT) AS empty_files,
+        CAST(1 AS BIGINT) AS without_bytes FROM ev GROUP BY 1""",
 }

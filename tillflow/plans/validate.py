@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality
 from ..schemas import RAW
+from ..sources import readers
 
 
 def annotate_path(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Records of a ``.json`` file (one array or one object) or of ``.parquet`` raw rows with their ``errors``."""
     if path.endswith(".json"):
-        whole = spark.read.option("singleVariantColumn", "v").option("multiLine", "true").json(path)
-        records = whole.select(F.explode(F.expr("coalesce(try_cast(v AS array<variant>), array(v))")).alias("record"))
-        texts = records.select(F.to_json("record").alias("text"))
-        named = quality.annotate(texts, source, "text")
-        return named.select(F.get_json_object("text", "$.event_id").alias("event_id"), "errors")
+        named = quality.annotate_events(readers.read_any(spark, path), source, "record")
+        return named.select(F.try_variant_get("record", "$.event_id", "string").alias("event_id"), "errors")
     if path.endswith(".parquet"):
         return quality.annotate_bronze(spark.read.schema(RAW[source]).parquet(path), source).select("event_id", "errors")
     raise ValueError(f"unsupported file format: {path} (.json or .parquet)")

@@ -13,7 +13,6 @@ TOPICS = {
 }
 DLQ_POS = "retail.pos.dlq"
 DLQ_INVENTORY = "retail.inventory.dlq"
-STORE_IDS = [f"STR{i:04d}" for i in range(1, 51)]
 CATEGORIES = ["electronics", "apparel", "grocery", "home", "beauty", "sports", "toys", "automotive"]
 PAYMENT_METHODS = ["cash", "credit_card", "debit_card", "mobile_pay", "gift_card", "store_credit"]
 POS_TYPES = ["sale", "refund", "void", "no_sale"]
@@ -50,6 +49,8 @@ EVENT_COLUMNS = {
                  "search_query string, device_type string, metadata string",
 }
 INGEST_COLUMNS = "_ingestion_ts string, _kafka_topic string, _kafka_partition int, _kafka_offset bigint"
+#: The whole event beside its columns: the text as it came, and parsed once.
+WHOLE_EVENT = "_event_text string, _event variant"
 BRONZE_COLUMNS = "_bronze_loaded_at string, _source_name string, _record_hash string, event_date date, event_hour int"
 NESTED_COLUMNS = {"pos": ["items", "payment", "totals", "metadata"], "inventory": ["metadata"], "ecommerce": ["order", "metadata"]}
 
@@ -94,11 +95,8 @@ SILVER = {
         Col("event_date", "date", True), Col("event_hour", "int"), Col("_silver_ts", "string"),
     ],
 }
-SILVER_PARTITIONS = {"pos": ["event_date", "store_id"], "inventory": ["event_date", "store_id"], "ecommerce": ["event_date"]}
-BRONZE_PARTITIONS = {"pos": ["event_date", "event_hour", "store_id"], "inventory": ["event_date", "event_hour", "store_id"],
-                     "ecommerce": ["event_date", "event_hour"]}
-GOLD_PARTITIONS = {"daily_sales_by_store": ["event_date"], "hourly_sales_trend": ["event_date", "store_id"],
-                   "inventory_snapshot": ["store_id"], "low_stock_alerts": [], "top_selling_products": ["event_date"]}
+#: Days are the partitions of all tables that have them; stores are sorted inside, so their number does not matter.
+DAY = "event_date"
 
 PRODUCT = ("sku string, product_name string, category string, subcategory string, brand string, unit_price double, "
            "cost_price double, unit_of_measure string, weight_kg double, is_perishable boolean, active boolean, "

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
+ZONE = "spark.sql.session.timeZone"
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * MIB, floor: int = 8) -> int:
@@ -46,10 +48,19 @@ def get_spark(app: str = "tillflow", master: str | None = None, input_bytes: int
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Dates and hours are cut in UTC whatever the zone of the caller's session was."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def utc(function):
+    """A function of a session and more whose dates and hours are cut in UTC; the caller's zone is back when it returns."""
+    @wraps(function)
+    def run(spark: SparkSession, *args, **kwargs):
+        zone = spark.conf.get(ZONE)
+        if zone == "UTC":
+            return function(spark, *args, **kwargs)
+        spark.conf.set(ZONE, "UTC")
+        try:
+            return function(spark, *args, **kwargs)
+        finally:
+            spark.conf.set(ZONE, zone)
+    return run
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

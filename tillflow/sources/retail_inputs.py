@@ -199,6 +199,17 @@ def envelope(spark: SparkSession, sf_dir: str, source: str, faults: bool = True)
         (n % partitions).cast("int").alias("partition"), (n + copy * MICROS).alias("offset"), F.col("ts").alias("timestamp"))
 
 
+def late_envelope(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Messages without faults; the second copies of every twentieth event are of a time three days earlier."""
+    n, late = F.col("n"), (F.col("copy") == 1) & (F.col("n") % 20 == 0)
+    parts = {"pos": pos_columns, "inventory": inventory_columns, "ecommerce": ecommerce_columns}[source]()
+    parts["timestamp"] = F.when((n % 83 != 0) & late, iso_text(F.col("ts") - F.expr("INTERVAL 3 DAYS"))).otherwise(parts["timestamp"])
+    value = F.to_json(F.struct(*[c.alias(name) for name, c in parts.items()])).cast("binary")
+    return with_copies(events(spark, sf_dir)).select(
+        F.col("store_id").alias("key"), value.alias("value"), F.lit(TOPICS[source]).alias("topic"), (n % 12).cast("int").alias("partition"),
+        (n + F.col("copy") * MICROS).alias("offset"), F.col("ts").alias("timestamp"))
+
+
 def products(spark: SparkSession, sf_dir: str, batch: int = 0) -> DataFrame:
     """Product records as JSON text with their feed page. Batch 1 holds every third product, dearer and 90 days newer."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
