@@ -1,6 +1,8 @@
 """Dimension, reconciliation and monitoring."""
 
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,9 +71,10 @@ def test_dimension_runs_take_every_page_file_once(spark, tmp_path):
     # a tie with the mark arrives later and is taken, what is older is not
     write_pages(feed, {2: [product("A", 7, 3), product("C", 2, 6), product("D", 2, 1)]})
     assert run_dimension(spark, root, str(feed))["valid_records"] == 2
-    write_pages(feed, {3: [product("E", -1, 9), "{"]})
+    write_pages(feed, {3: [product("E", -1, 9), '"{"']})
+    (feed / "cut.json").write_text('{"page":4,"data":[{"sku"')
     bad = run_dimension(spark, root, str(feed))
-    assert (bad["status"], bad["invalid_records"], bad["version"], bad["mark"][:10]) == ("no_data", 2, 2, "2024-01-06")
+    assert (bad["status"], bad["invalid_records"], bad["version"], bad["mark"][:10]) == ("no_data", 3, 2, "2024-01-06")
     version, table = current_version(spark, root)
     assert version == 2 and {r.sku: r.unit_price for r in table.collect()} == {"A": 7.0, "C": 2.0}
     assert sorted((r.run, r.sku) for r in spark.read.parquet(f"{root}/quarantine/sku_api").select("run", "sku").collect() if r.sku) == [(1, "B"), (3, "E")]
@@ -145,11 +148,36 @@ def test_read_any(spark, tmp_path):
         readers.read_any(spark, "x.txt")
 
 
-def test_quality_history_grows(spark, tmp_path):
-    from tillflow.operators import quality
-    from tillflow.plans.daily import record_quality
-    frame = spark.createDataFrame([("a", [])], "event_id string, errors array<string>")
-    for _ in range(2):
-        record_quality([quality.report(frame, "pos")], str(tmp_path / "history"))
-    history = spark.read.parquet(str(tmp_path / "history"))
-    assert history.count() == 2 and "validated_at" in history.columns
+def test_drift_counts_what_cannot_be_told_apart(spark):
+    texts = ['{"event_id":"a","event_id":"b"}', '{"metadata":{"x":1,"x":2}}', "[]", '{"event_id":"c"} rest']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {(r.field, r.seen_type, r.records, r.drift) for r in monitor.schema_drift(df, "inventory").collect()}
+    assert got == {("event_id", "string", 1, "none"), ("$", None, 1, "unparsable")}
+    stored = df.limit(2).select(F.try_parse_json("value").alias("v"))
+    assert {(r.field, r.records) for r in monitor.schema_drift(stored, "inventory", "v").collect()} == {("$", 2)}
+
+
+def waits_frame(spark, waits):
+    rows = [(t, "2024-01-01T00:00:00+00:00", w) for t, ws in waits.items() for w in ws]
+    df = spark.createDataFrame(rows, "_kafka_topic string, timestamp string, wait bigint")
+    at = F.timestamp_micros(F.unix_micros(F.col("timestamp").cast("timestamp")) + F.col("wait"))
+    return df.withColumn("_ingestion_ts", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
+
+
+def test_latency_percentiles_are_exact(spark):
+    draw = random.Random(3)
+    waits = {"a": [draw.randrange(-10**9, 86_400 * 10**6) for _ in range(500)], "b": [7], "c": [0] * 90 + [5] * 10, "d": [draw.randrange(20) for _ in range(99)]}
+    got = {r._kafka_topic: (r.measured, r.p50, r.p95, r.p99) for r in monitor.latency_percentiles(waits_frame(spark, waits)).collect()}
+    want = {t: (len(w), *(sorted(w)[max(1, math.ceil(p * len(w))) - 1] / 1e6 for p in (0.5, 0.95, 0.99))) for t, w in waits.items()}
+    assert got == want
+    assert monitor.latency_percentiles(waits_frame(spark, waits).limit(0)).count() == 0
+
+
+def test_unexpected_files_are_reported_with_details(spark):
+    files = spark.createDataFrame([("d1", "f", 1_000, 5), ("d9", "g", 400, 2)], "date_prefix string, file string, size_bytes long, records long")
+    expected = spark.createDataFrame([("d1", 5), ("d2", 1)], "date_prefix string, expected_count long")
+    report = reconcile.reconcile(files, expected)
+    assert {(r.date_prefix, r.actual_count, r.status, r.blob_count) for r in report.collect()} == {("d1", 5, "OK", 1), ("d2", 0, "FAIL", 0), ("d9", 2, "FAIL", 1)}
+    assert {(r.date_prefix, r.file, r.status) for r in reconcile.file_details(files, report).collect()} == {("d1", "f", "OK"), ("d9", "g", "FAIL")}
+    guessed = reconcile.reconcile(reconcile.estimated_records(files), expected)
+    assert {r.date_prefix: r.actual_count for r in guessed.collect()} == {"d1": 5, "d2": 0, "d9": 2}

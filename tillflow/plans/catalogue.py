@@ -6,6 +6,7 @@ Processing stamps (load, silver and gold time) are never part of a result. Times
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,10 +14,10 @@ from ..functions.fingerprint import record_hash
 from ..operators import bronze, dimension, gold, monitor, quality, reconcile, rules, silver
 from ..operators.contract import SEPARATOR, as_array, check_contract, contract_text, open_event, open_row
 from ..session import scratch_dir, utc
-from ..sources import inventory as listing, readers, retail_inputs as inputs
+from ..sources import catalog, inventory as listing, readers, retail_inputs as inputs, writers
 from ..sources.writers import write_table
-from ..streaming import envelope, landing, live
-from . import drops, medallion, product
+from ..streaming import envelope, landing, live, progress
+from . import daily, drops, medallion, product
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,8 +66,8 @@ def bronze_required_valid(spark, sf_dir):
 @query
 def bronze_required_invalid(spark, sf_dir):
     bad = [bronze.split_required(_bronze(spark, sf_dir, source), source)[1].select(
-        "_source_name", "event_id", "_kafka_offset", "_validation_error", "_missing_fields") for source in ("pos", "ecommerce")]
-    return bad[0].unionByName(bad[1])
+        "_source_name", "event_id", "_kafka_offset", "_validation_error", "_missing_fields") for source in inputs.RAW_INPUTS]
+    return reduce(DataFrame.unionByName, bad)
 
 
 @query
@@ -256,9 +257,15 @@ def validation_errors(spark, sf_dir):
     return quality.error_samples(_annotated(spark, sf_dir, "pos"))
 
 
+@query
+def validation_failures(spark, sf_dir):
+    """Every bad record of every source with all its violations."""
+    return reduce(DataFrame.unionByName, [quality.failures(_annotated(spark, sf_dir, s), "_kafka_topic", "_kafka_offset", "event_id") for s in inputs.RAW_INPUTS])
+
+
 @query
 def error_breakdown(spark, sf_dir):
-    return quality.error_breakdown(_annotated(spark, sf_dir, "pos"))
+    return reduce(DataFrame.unionByName, [quality.error_breakdown(_annotated(spark, sf_dir, s)).withColumn("source", F.lit(s)) for s in inputs.RAW_INPUTS])
 
 
 @query
@@ -268,7 +275,8 @@ def quality_gate(spark, sf_dir):
 
 @query
 def schema_drift(spark, sf_dir):
-    return monitor.schema_drift(envelope.decode(inputs.envelope(spark, sf_dir, "pos")), "pos", "text")
+    drift = [monitor.schema_drift(envelope.decode(inputs.envelope(spark, sf_dir, s)), s, "text").withColumn("source", F.lit(s)) for s in inputs.RAW_INPUTS]
+    return reduce(DataFrame.unionByName, drift)
 
 
 # ---- inventory file drops -------------------------------------------------------------------------------------------
@@ -461,9 +469,39 @@ def layer_counts(spark, sf_dir):
     return monitor.layer_counts(files).select("layer", "record_count")
 
 
+def _waits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [raw(spark, sf_dir).select("_kafka_topic", "_ingestion_ts", "timestamp") for raw in inputs.RAW_INPUTS.values()])
+
+
 @query
 def latency_percentiles(spark, sf_dir):
-    return monitor.latency_percentiles(inputs.raw_pos(spark, sf_dir))
+    return monitor.latency_percentiles(_waits(spark, sf_dir))
+
+
+@query
+def lag_from_progress(spark, sf_dir):
+    """Lag of a landing query after two batches, by what its batches have written: the messages that arrived since are open."""
+    root = scratch_dir(spark, "lag")
+    messages = reduce(DataFrame.unionByName, [inputs.envelope(spark, sf_dir, s) for s in inputs.RAW_INPUTS]).where(F.col("offset") < inputs.MICROS)
+    for until, folder in (("2024-01-10", "a"), ("2024-01-20", "b"), (None, "c")):
+        inside = messages if until is None else messages.where(F.col("timestamp") < F.lit(until).cast("timestamp"))
+        if folder == "c":
+            inside.write.parquet(f"{root}/topics/c")
+        else:
+            _land(spark, root, inside, folder)
+    return monitor.lag_report(progress.archived_offsets(spark, f"{root}/topics"), progress.committed_offsets(spark, f"{root}/_offsets"))
+
+
+@query
+def health_report(spark, sf_dir):
+    """Lag, records per layer, pass rates and latency in one table, over two layers of POS events and all three topics."""
+    root = scratch_dir(spark, "health")
+    raw = inputs.raw_pos(spark, sf_dir)
+    write_table(raw, f"{root}/raw/pos", "overwrite")
+    write_table(_valid(spark, sf_dir, "pos"), f"{root}/processed/pos", "overwrite")
+    layers = monitor.layer_counts(readers.layer_files(spark, root, ["raw", "processed"]))
+    rates = daily.record_quality(spark, _reports(spark, sf_dir), f"{root}/monitoring/pass_rates")
+    return monitor.health_report(monitor.lag_report(*inputs.offsets(spark, sf_dir)), layers, rates, monitor.latency_percentiles(_waits(spark, sf_dir))).where("metric <> 'files'")
 
 
 # ---- product dimension ------------------------------------------------------------------------------------------------
@@ -575,15 +613,22 @@ def stream_pos_intake(spark, sf_dir):
     return good.unionByName(bad).groupBy(event_id, "reason").agg(F.count("*").alias("messages"))
 
 
-def _typed_sales(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Stream of typed POS sales, every tenth one delivered twice with equal contents."""
+def _typed_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed POS events, every tenth one delivered twice with equal contents."""
     parts = inputs.pos_columns()
-    rows = inputs.events(spark, sf_dir).withColumn("copy", F.lit(0)).where(parts["event_type"] == "sale").select(
-        "n", parts["event_id"].alias("event_id"), "store_id", parts["transaction_id"].alias("transaction_id"),
+    rows = inputs.events(spark, sf_dir).withColumn("copy", F.lit(0)).select(
+        "n", parts["event_id"].alias("event_id"), parts["event_type"].alias("event_type"), "store_id", parts["transaction_id"].alias("transaction_id"),
         parts["totals"]["total"].alias("total_amount"), F.col("ts").alias("event_ts"))
-    rows = inputs.with_copies(rows).drop("n", "copy")
-    rows.write.parquet(f"{root}/sales")
-    return spark.readStream.schema(rows.schema).parquet(f"{root}/sales")
+    return inputs.with_copies(rows).drop("copy")
+
+
+def _streamed(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("append").parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).parquet(path)
+
+
+def _typed_sales(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    return _streamed(_typed_pos(spark, sf_dir).where("event_type = 'sale'").drop("n", "event_type"), f"{root}/sales")
 
 
 def _sink(df: DataFrame, root: str) -> DataFrame:
@@ -595,7 +640,8 @@ def _sink(df: DataFrame, root: str) -> DataFrame:
 @query
 def stream_dedup(spark, sf_dir):
     root = scratch_dir(spark, "dedup")
-    return _sink(live.dedup_stream(_typed_sales(spark, sf_dir, root)), root).select("event_id", "store_id", "transaction_id")
+    events = _streamed(_typed_pos(spark, sf_dir).drop("n"), f"{root}/events")
+    return _sink(live.dedup_stream(events), root).select("event_id", "event_type", "store_id", "transaction_id")
 
 
 @query
@@ -605,6 +651,28 @@ def stream_hourly_sales(spark, sf_dir):
     return _sink(hours, root).withColumn("hour_start", _utc("hour_start"))
 
 
+def _live(spark: SparkSession, sf_dir: str) -> str:
+    """Two batches of sales: those before 20 January but every 50th, and then the rest, with the 50ths late and some copies again."""
+    root = scratch_dir(spark, "live")
+    sales = _typed_pos(spark, sf_dir).where("event_type = 'sale'").drop("event_type")
+    first = (F.col("event_ts") < F.lit("2024-01-20").cast("timestamp")) & (F.col("n") % 50 != 0)
+    for rows in (sales.where(first), sales.where(~first | (F.col("n") % 30 == 0))):
+        _run(live.live_hours(_streamed(rows.drop("n"), f"{root}/sales"), root, f"{root}/_checkpoint", once=True))
+    return root
+
+
+@query
+def stream_hours_complete(spark, sf_dir):
+    """All hours, the newest and the late rows included, after the second batch."""
+    return live.read_live_hours(spark, _live(spark, sf_dir)).withColumn("hour_start", _utc("hour_start"))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    late = live.read_late(spark, _live(spark, sf_dir))
+    return late.select("event_id", "store_id", _utc("event_ts"), _utc("newest"), "batch")
+
+
 # ---- layer runs -------------------------------------------------------------------------------------------------------
 
 
@@ -685,3 +753,53 @@ def pipeline_stock(spark, sf_dir):
     """The stock snapshot after two runs, combined from the latest levels of each day."""
     root = _twice_landed(spark, sf_dir, ("inventory",), _gold_run(spark, ("inventory",)))
     return readers.read_gold(spark, f"{root}/gold", "inventory_snapshot").drop("_gold_ts").withColumn("event_ts", _utc("event_ts"))
+
+
+@query
+def catalog_tables(spark, sf_dir):
+    """Rows of two runs read by their catalog names, registered after each run: the second adds and moves days."""
+    def step(root: str) -> None:
+        _gold_run(spark, ("pos",))(root)
+        catalog.register_silver(spark, f"{root}/silver", ["pos"])
+        catalog.register_gold(spark, f"{root}/gold", ["daily_sales_by_store"])
+
+    _twice_landed(spark, sf_dir, ("pos",), step)
+    return spark.sql(f"""
+        SELECT s.event_date, s.store_id, s.sales, g.transaction_count FROM
+          (SELECT event_date, store_id, count(*) AS sales FROM {catalog.SILVER_DB}.pos_transactions WHERE event_type = 'sale' AND _is_valid
+           GROUP BY event_date, store_id) s
+        JOIN {catalog.GOLD_DB}.daily_sales_by_store g ON s.event_date = g.event_date AND s.store_id = g.store_id""")
+
+
+@query
+def daily_run(spark, sf_dir):
+    """What one daily run over all topics and the product feed says it did, and what its manifests and tables hold."""
+    root, feed = scratch_dir(spark, "daily"), scratch_dir(spark, "daily-feed")
+    inputs.pages(inputs.products(spark, sf_dir)).write.text(feed)
+    for source in inputs.RAW_INPUTS:
+        _land(spark, root, inputs.late_envelope(spark, sf_dir, source), source)
+    done = daily.run_all(spark, root, feed)
+    lines = [(f"bronze_{s}", k, n) for s, counts in done["bronze"].items() for k, n in counts.items()]
+    lines += [(f"silver_{s}", k, n) for s, counts in done["silver"].items() for k, n in counts.items()]
+    lines += [("dimension", "valid", done["dimension"]["valid_records"]), ("gate", done["gate"], 1), ("gold_daily_sales_by_store", "rows", done["gold"]["daily_sales_by_store"])]
+    for source in inputs.RAW_INPUTS:
+        lines.append((f"manifest_{source}", "records", readers.read_manifest(spark, f"{root}/processed", source).agg(F.sum("records")).first()[0]))
+    return spark.createDataFrame(lines, "step string, name string, value bigint")
+
+
+@query
+def report_sink(spark, sf_dir):
+    """The validation report as the sink writes it, read back."""
+    path = scratch_dir(spark, "report")
+    first, *others = _reports(spark, sf_dir)
+    writers.write_report(reduce(DataFrame.unionByName, others, first), path)
+    return spark.read.schema("source string, total_records bigint, valid_count bigint, invalid_count bigint, pass_rate double, passed boolean").json(path)
+
+
+@query
+def processing_stamps(spark, sf_dir):
+    """Load, silver and ingestion stamps by their form: texts in UTC with six digits and the zone, whatever the session's zone."""
+    rows = _silver(spark, sf_dir, "ecommerce").select("_silver_ts").union(_bronze(spark, sf_dir, "ecommerce").select("_bronze_loaded_at")).union(
+        _bronze(spark, sf_dir, "ecommerce").select("_ingestion_ts")).toDF("stamp")
+    form = F.regexp_replace("stamp", "[0-9]", "0")
+    return rows.groupBy(form.alias("form")).agg(F.count("*").alias("records"), F.count_if(F.try_to_timestamp("stamp").isNull()).alias("unreadable"))

@@ -209,6 +209,12 @@ LATE = POS + """,
 late AS (SELECT *, CASE WHEN copy = 1 AND n % 20 = 0 THEN event_ts - INTERVAL 3 DAY ELSE event_ts END AS moved FROM pos)
 """
 
+ALL = f"{POS}, {INVENTORY.replace(EVENTS + ',', '')}, {ECOMMERCE.replace(EVENTS + ',', '')}"
+
+WAITS = f"""waits AS (SELECT CAST(30 + n % 7 * 5 + copy * 60 AS DOUBLE) AS s FROM marked WHERE event_ts IS NOT NULL),
+points AS (SELECT unnest({list(TOPICS.values())}) AS _kafka_topic, COUNT(*) AS measured, quantile_disc(s, 0.5) AS p50, quantile_disc(s, 0.95) AS p95,
+           quantile_disc(s, 0.99) AS p99 FROM waits)"""
+
 ORACLE: dict[str, str] = {
     "bronze_metadata": f"WITH {POS} SELECT event_id, off AS _kafka_offset, 'pos' AS _source_name, event_date, event_hour FROM pos",
     "bronze_required_valid": f"""WITH {POS} SELECT event_id, off AS _kafka_offset, store_id, transaction_id FROM pos
@@ -291,18 +297,32 @@ ORACLE: dict[str, str] = {
     "validation_report": f"{REPORTS} SELECT * FROM judged",
     "validation_errors": f"""WITH {POS} SELECT event_id, {codes(*POS_ERRORS, sep='; ')} AS errors FROM pos
         WHERE {either(POS_ERRORS)} ORDER BY event_id, errors LIMIT 100""",
-    "error_breakdown": f"WITH {POS} " + " UNION ALL ".join(
-        f"SELECT '{text}' AS error, COUNT(*) AS records FROM pos WHERE {condition} HAVING COUNT(*) > 0" for text, condition in POS_ERRORS),
+    "validation_failures": f"""WITH {ALL} SELECT 'retail.pos.events' AS _kafka_topic, off AS _kafka_offset, event_id, {codes(*POS_ERRORS, sep='; ')} AS errors
+        FROM pos WHERE {either(POS_ERRORS)}
+        UNION ALL SELECT 'retail.inventory.events', off, event_id, {codes(*INVENTORY_ERRORS, sep='; ')} FROM inv WHERE {either(INVENTORY_ERRORS)}
+        UNION ALL SELECT 'retail.ecommerce.events', off, event_id, {codes(*ECOMMERCE_ERRORS, sep='; ')} FROM eco WHERE {either(ECOMMERCE_ERRORS)}""",
+    "error_breakdown": f"WITH {ALL} " + " UNION ALL ".join(
+        f"SELECT '{text}' AS error, COUNT(*) AS records, '{source}' AS source FROM {table} WHERE {condition} HAVING COUNT(*) > 0"
+        for source, table, errors in (("pos", "pos", POS_ERRORS), ("inventory", "inv", INVENTORY_ERRORS), ("ecommerce", "eco", ECOMMERCE_ERRORS))
+        for text, condition in errors),
     "quality_gate": f"""{REPORTS} SELECT CAST(COUNT(*) AS INTEGER) AS sources, CAST(COUNT(*) FILTER (WHERE NOT passed) AS INTEGER) AS failed_sources,
         MIN(pass_rate) AS lowest_pass_rate,
         CASE WHEN COUNT(*) FILTER (WHERE NOT passed) > 0 THEN 'quarantine_alert' ELSE 'validation_passed' END AS branch FROM judged""",
-    "schema_drift": f"""WITH {POS}, good AS (SELECT * FROM pos WHERE NOT {FAULTY}), seen AS (
-        SELECT unnest(['event_id', 'event_type', 'store_id', 'terminal_id', 'cashier_id', 'timestamp']) AS field, 'string' AS expected_type,
-               'string' AS seen_type FROM good
-        UNION ALL SELECT unnest(['payment', 'totals']), 'object', 'object' FROM good
-        UNION ALL SELECT 'transaction_id', 'string', 'string' FROM good WHERE transaction_id IS NOT NULL
-        UNION ALL SELECT 'items', 'array', CASE WHEN n % 103 = 0 THEN 'string' ELSE 'array' END FROM good)
-        SELECT field, expected_type, seen_type, COUNT(*) AS records,
+    "schema_drift": f"""WITH {ALL}, seen AS (
+        SELECT 'pos' AS source, unnest(['event_id', 'event_type', 'store_id', 'terminal_id', 'cashier_id', 'timestamp']) AS field, 'string' AS expected_type,
+               'string' AS seen_type FROM pos WHERE NOT {FAULTY}
+        UNION ALL SELECT 'pos', unnest(['payment', 'totals']), 'object', 'object' FROM pos WHERE NOT {FAULTY}
+        UNION ALL SELECT 'pos', 'transaction_id', 'string', 'string' FROM pos WHERE NOT {FAULTY} AND transaction_id IS NOT NULL
+        UNION ALL SELECT 'pos', 'items', 'array', CASE WHEN n % 103 = 0 THEN 'string' ELSE 'array' END FROM pos WHERE NOT {FAULTY}
+        UNION ALL SELECT 'inventory', unnest(['event_id', 'event_type', 'store_id', 'sku', 'product_name', 'timestamp', 'location']), 'string', 'string'
+                  FROM inv WHERE NOT {FAULTY}
+        UNION ALL SELECT 'inventory', unnest(['quantity_delta', 'quantity_on_hand']), 'integer', 'integer' FROM inv WHERE NOT {FAULTY}
+        UNION ALL SELECT 'inventory', 'reorder_point', 'integer', 'integer' FROM inv WHERE NOT {FAULTY} AND reorder_point IS NOT NULL
+        UNION ALL SELECT 'inventory', unnest(['supplier_id', 'po_number']), 'string', 'string' FROM inv WHERE NOT {FAULTY} AND n % 8 = 0
+        UNION ALL SELECT 'ecommerce', unnest(['event_id', 'event_type', 'session_id', 'timestamp', 'channel', 'sku']), 'string', 'string' FROM eco WHERE NOT {FAULTY}
+        UNION ALL SELECT 'ecommerce', 'customer_id', 'string', 'string' FROM eco WHERE NOT {FAULTY} AND customer_id IS NOT NULL
+        UNION ALL SELECT 'ecommerce', 'search_query', 'string', 'string' FROM eco WHERE NOT {FAULTY} AND action = 'error')
+        SELECT source, field, expected_type, seen_type, COUNT(*) AS records,
                CASE WHEN expected_type = seen_type THEN 'none' ELSE 'type_changed' END AS drift FROM seen GROUP BY ALL""",
     "file_gate": f"WITH {DROPS} SELECT * FROM verdicts",
     "file_gate_rows": f"WITH {DROPS} SELECT sku, store_id, quantity_on_hand, file FROM drops JOIN verdicts USING (file) WHERE verdict = 'accept'",
@@ -334,9 +354,23 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'processed', COUNT(*) FROM pos WHERE transaction_id IS NOT NULL
         UNION ALL SELECT 'silver', COUNT(*) FROM pos_silver
         UNION ALL SELECT 'gold', COUNT(*) FROM (SELECT DISTINCT event_date, store_id FROM pos_silver WHERE event_type = 'sale' AND _is_valid)""",
-    "latency_percentiles": f"""WITH {EVENTS}, waits AS (SELECT CAST(30 + n % 7 * 5 + copy * 60 AS DOUBLE) AS s FROM marked WHERE event_ts IS NOT NULL)
-        SELECT 'retail.pos.events' AS _kafka_topic, COUNT(*) AS measured, quantile_disc(s, 0.5) AS p50, quantile_disc(s, 0.95) AS p95,
-               quantile_disc(s, 0.99) AS p99 FROM waits""",
+    "latency_percentiles": f"WITH {EVENTS}, {WAITS} SELECT _kafka_topic, measured, p50, p95, p99 FROM points",
+    "lag_from_progress": f"""WITH {EVENTS}, spread AS ({per_topic("SELECT n, ts, '{topic}' AS topic, n % {width} AS part FROM ev")}),
+        ends AS (SELECT topic, part, MAX(n) + 1 AS end_offset, MAX(n) FILTER (WHERE ts < TIMESTAMP '2024-01-20') + 1 AS done FROM spread GROUP BY ALL),
+        lags AS (SELECT topic, CAST(SUM(end_offset - coalesce(done, 0)) AS BIGINT) AS total_lag, COUNT(*) AS partitions FROM ends GROUP BY topic)
+        SELECT *, CASE WHEN total_lag < 10000 THEN 'OK' WHEN total_lag < 100000 THEN 'WARN' ELSE 'CRITICAL' END AS status FROM lags""",
+    "health_report": REPORTS.replace("judged AS (", WAITS + ", judged AS (") + """,
+        spread AS (""" + per_topic("SELECT n, ts, '{topic}' AS topic, '{source}' AS source, n % {width} AS part FROM ev") + """),
+        ends AS (SELECT topic, part, MAX(n) + 1 AS end_offset FROM spread GROUP BY ALL),
+        done AS (SELECT topic, part, MAX(n) + 1 AS committed FROM spread
+                 WHERE source = 'inventory' OR (source = 'pos' AND part <> 11 AND ts < TIMESTAMP '2024-01-20') GROUP BY ALL),
+        lags AS (SELECT topic, SUM(end_offset - coalesce(committed, 0)) AS lag FROM ends LEFT JOIN done USING (topic, part) GROUP BY topic)
+        SELECT 'lag' AS metric, topic AS name, CAST(lag AS DOUBLE) AS value,
+               CASE WHEN lag < 10000 THEN 'OK' WHEN lag < 100000 THEN 'WARN' ELSE 'CRITICAL' END AS status FROM lags
+        UNION ALL SELECT 'records', 'raw', CAST(COUNT(*) AS DOUBLE), 'OK' FROM pos
+        UNION ALL SELECT 'records', 'processed', CAST(COUNT(*) AS DOUBLE), 'OK' FROM pos WHERE transaction_id IS NOT NULL
+        UNION ALL SELECT 'pass_rate', source, pass_rate, CASE WHEN passed THEN 'OK' ELSE 'FAIL' END FROM judged
+        UNION ALL SELECT 'latency_p95', _kafka_topic, p95, CASE WHEN p95 < 300 THEN 'OK' ELSE 'LATE' END FROM points""",
     "sku_incremental": f"""WITH {PRODUCTS} SELECT sku, unit_price, strftime(changed, '%Y-%m-%d') || 'T00:00:00+00:00' AS updated_at
         FROM prod WHERE changed >= DATE '2024-01-31'""",
     "sku_run_summary": f"""WITH {PRODUCTS} SELECT COUNT(DISTINCT page) AS pages_fetched, COUNT(*) FILTER (WHERE p % 37 <> 0) AS valid_records,
@@ -367,7 +401,12 @@ ORACLE: dict[str, str] = {
         WHEN transaction_id IS NULL THEN 'Missing required fields: [''transaction_id'']'
         WHEN coalesce(total_amount, -1) < 0 THEN 'Negative total amount' ELSE 'OK' END AS reason FROM pos)
         SELECT event_id, reason, COUNT(*) AS messages FROM checked GROUP BY ALL""",
-    "stream_dedup": f"WITH {POS} SELECT event_id, store_id, transaction_id FROM pos WHERE event_type = 'sale' AND copy = 0",
+    "stream_dedup": f"WITH {POS} SELECT event_id, event_type, store_id, transaction_id FROM pos WHERE copy = 0",
+    "stream_hours_complete": f"""WITH {POS} SELECT date_trunc('hour', ts) AS hour_start, store_id, COUNT(transaction_id) AS transaction_count,
+        {money('total_amount')} AS hourly_revenue FROM pos WHERE event_type = 'sale' AND copy = 0 GROUP BY ALL""",
+    "stream_late_rows": f"""WITH {POS}, sales AS (SELECT *, ts < TIMESTAMP '2024-01-20' AND n % 50 <> 0 AS first FROM pos WHERE event_type = 'sale' AND copy = 0),
+        mark AS (SELECT MAX(ts) AS newest FROM sales WHERE first)
+        SELECT event_id, store_id, ts AS event_ts, newest, CAST(1 AS BIGINT) AS batch FROM sales, mark WHERE NOT first AND ts < newest - INTERVAL 1 HOUR""",
     "stream_hourly_sales": f"""WITH {POS}, sales AS (SELECT * FROM pos WHERE event_type = 'sale' AND copy = 0),
         hours AS (SELECT date_trunc('hour', ts) AS hour_start, store_id, COUNT(transaction_id) AS transaction_count,
                   {money('total_amount')} AS hourly_revenue FROM sales GROUP BY ALL)
@@ -401,4 +440,26 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'd8', 'skip', 'empty_file', NULL, NULL, NULL, NULL, NULL""",
     "file_inventory": f"""WITH {EVENTS} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS records, CAST(1 AS BIGINT) AS empty_files,
         CAST(1 AS BIGINT) AS without_bytes FROM ev GROUP BY 1""",
+    "catalog_tables": f"""WITH {LATE} SELECT CAST(moved AS DATE) AS event_date, store_id, COUNT(*) AS sales, COUNT(*) AS transaction_count
+        FROM late WHERE latest AND transaction_id IS NOT NULL AND event_type = 'sale' AND total_amount >= 0 AND moved IS NOT NULL GROUP BY 1, 2""",
+    "daily_run": f"""WITH {ALL}, {PRODUCTS},
+        late AS (SELECT *, CASE WHEN copy = 1 AND n % 20 = 0 THEN event_ts - INTERVAL 3 DAY ELSE event_ts END AS moved FROM pos),
+        counts AS (
+        SELECT 'pos' AS source, COUNT(*) FILTER (WHERE transaction_id IS NOT NULL) AS good, COUNT(*) FILTER (WHERE transaction_id IS NULL) AS bad,
+               COUNT(*) FILTER (WHERE latest AND transaction_id IS NOT NULL AND event_ts IS NOT NULL AND total_amount IS NOT NULL) AS silver_good,
+               COUNT(*) FILTER (WHERE latest AND transaction_id IS NOT NULL AND (event_ts IS NULL OR total_amount IS NULL)) AS silver_bad FROM pos
+        UNION ALL SELECT 'inventory', COUNT(*), 0, COUNT(*) FILTER (WHERE latest AND event_ts IS NOT NULL), COUNT(*) FILTER (WHERE latest AND event_ts IS NULL) FROM inv
+        UNION ALL SELECT 'ecommerce', COUNT(*) FILTER (WHERE customer_id IS NOT NULL), COUNT(*) FILTER (WHERE customer_id IS NULL),
+               COUNT(*) FILTER (WHERE latest AND customer_id IS NOT NULL AND event_ts IS NOT NULL),
+               COUNT(*) FILTER (WHERE latest AND customer_id IS NOT NULL AND event_ts IS NULL) FROM eco)
+        SELECT 'bronze_' || source AS step, 'valid' AS name, good AS value FROM counts UNION ALL SELECT 'bronze_' || source, 'invalid', bad FROM counts
+        UNION ALL SELECT 'silver_' || source, 'valid', silver_good FROM counts UNION ALL SELECT 'silver_' || source, 'invalid', silver_bad FROM counts
+        UNION ALL SELECT 'manifest_' || source, 'records', good + bad FROM counts
+        UNION ALL SELECT 'dimension', 'valid', COUNT(*) FROM prod WHERE p % 37 <> 0
+        UNION ALL SELECT 'gate', 'quarantine_alert', 1
+        UNION ALL SELECT 'gold_daily_sales_by_store', 'rows', COUNT(*) FROM (SELECT DISTINCT CAST(moved AS DATE), store_id FROM late
+                  WHERE latest AND transaction_id IS NOT NULL AND event_type = 'sale' AND total_amount >= 0 AND moved IS NOT NULL)""",
+    "report_sink": f"{REPORTS} SELECT * FROM judged",
+    "processing_stamps": f"""WITH {ECOMMERCE} SELECT '0000-00-00T00:00:00.000000+00:00' AS form,
+        2 * COUNT(*) + COUNT(*) FILTER (WHERE latest AND customer_id IS NOT NULL) AS records, CAST(0 AS BIGINT) AS unreadable FROM eco""",
 }

@@ -34,7 +34,9 @@ REASONABLE_TOTAL = 100_000
 LAG_OK, LAG_WARN = 10_000, 100_000
 VARIANCE_OK, VARIANCE_WARN = 5.0, 15.0
 BYTES_PER_RECORD = 200
-FLUSH_SECONDS = 60
+FLUSH_SECONDS, FLUSH_RECORDS = 60, 5_000
+POLL_SECONDS = 1
+LATENCY_TARGET_SECONDS = 300
 
 # ---- raw rows: business columns, nested parts as JSON text ----------------------------------------------------------
 

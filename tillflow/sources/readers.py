@@ -207,11 +207,14 @@ def layer_files(spark: SparkSession, root: str, layers: Sequence[str]) -> DataFr
     from . import versioned
     parts = [inventory.list_files(spark, f"{root}/{layer}", "*.parquet", footers=True).withColumn("layer", F.lit(layer)) for layer in layers]
     files = reduce(DataFrame.unionByName, parts).withColumns({
-        "table": F.regexp_extract("file", r"^(.*)/(?:run|load)=\d+/", 1), "number": F.regexp_extract("file", r"/(?:run|load)=(\d+)/", 1).try_cast("bigint"),
+        "table": F.regexp_extract("file", r"^(.*)/(?:run|load|version)=\d+/", 1), "number": F.regexp_extract("file", r"/(?:run|load|version)=(\d+)/", 1).try_cast("bigint"),
         "day": F.regexp_replace(F.regexp_extract("file", r"/event_date=([^/]*)/", 1), "^__HIVE_DEFAULT_PARTITION__$", "")})
     tables = [r.table for r in files.select("table").distinct().collect() if r.table]  # a handful
     now = [(t, d, n) for t in tables for d, n in versioned.state(spark, t).days.items()]
     loads = [(t, committed_load(spark, t.rsplit("/", 1)[0], t.rsplit("/bronze_", 1)[1])) for t in tables if "/bronze_" in t]
+    for t in tables:  # of a dimension the newest version that a run has ended with
+        if exists(spark, f"{t}/_runs"):
+            now.append((t, versioned.NO_DAY, spark.read.schema("version int").parquet(f"{t}/_runs").agg(F.max("version")).first()[0]))
     current = spark.createDataFrame(now, "table string, day string, current bigint")
     done = spark.createDataFrame(loads, "table string, done bigint")
     dated = F.when(F.col("day") == "", F.lit(versioned.NO_DAY)).otherwise(F.col("day"))
@@ -222,7 +225,10 @@ def layer_files(spark: SparkSession, root: str, layers: Sequence[str]) -> DataFr
 def read_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All landed product pages ``{"page": n, "data": [...]}`` as one product per row (``page, record``).
 
-    An empty page ends a feed for the client that fetches it; what has landed, of this run or of later ones, is all read.
+    An empty page ends a feed for the client that fetches it; what has landed, of this run or of later ones, is all read. A
+    line that is no page is a record as it stands, which no contract accepts.
     """
-    pages = spark.read.schema("page int, data array<string>").option("recursiveFileLookup", "true").json(path)
-    return pages.select("page", F.explode("data").alias("record"))
+    pages = spark.read.schema("page int, data array<string>, _broken string").option("columnNameOfCorruptRecord", "_broken").option(
+        "recursiveFileLookup", "true").json(path)
+    records = F.when(F.col("_broken").isNotNull(), F.array("_broken")).otherwise(F.col("data"))
+    return pages.select("page", F.explode(records).alias("record"))

@@ -8,15 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.documents import event_variant, is_json_object
 from ..functions.instants import iso_text
-from ..schemas import DLQ_INVENTORY, DLQ_POS, EVENT_COLUMNS, TOPICS
+from ..schemas import DLQ_INVENTORY, DLQ_POS, EVENT_COLUMNS, FLUSH_RECORDS, FLUSH_SECONDS, TOPICS
 
 ENVELOPE = "key string, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
 
-def kafka_options(servers: str, topics: Sequence[str] = tuple(TOPICS.values()), per_trigger: int | None = None) -> dict[str, str]:
-    """``per_trigger`` limits the messages of a batch; without it a batch takes all there are."""
+def kafka_options(servers: str, topics: Sequence[str] = tuple(TOPICS.values()), per_trigger: int | None = None,
+                  flush_records: int = FLUSH_RECORDS, flush_seconds: int = FLUSH_SECONDS) -> dict[str, str]:
+    """A batch is due when ``flush_records`` messages wait or the oldest has waited ``flush_seconds``, whichever is first.
+
+    ``per_trigger`` limits the messages of a batch; without it a batch takes all there are.
+    """
+    if per_trigger is not None and per_trigger < flush_records:
+        flush_records = per_trigger
     limit = {} if per_trigger is None else {"maxOffsetsPerTrigger": str(per_trigger)}
     return limit | {
+        "minOffsetsPerTrigger": str(flush_records),
+        "maxTriggerDelay": f"{flush_seconds}s",
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
@@ -31,9 +39,12 @@ def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str] = tuple(
     return stream.select(F.col("key").cast("string").alias("key"), "value", "topic", "partition", "offset", "timestamp")
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of envelopes kept as Parquet files, e.g. an archive of a topic."""
-    return spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(path)
+def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of envelopes kept as Parquet files, e.g. an archive of a topic; ``files_per_trigger`` limits a batch."""
+    reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def decode(envelopes: DataFrame) -> DataFrame:
