@@ -95,6 +95,19 @@ def test_packing_odd_and_empty(spark, odd, empty):
     assert packing.pack(empty, TOKENIZER).count() == 0
 
 
+def test_words_of_equal_polynomials_keep_their_ids(spark):
+    """A long word over two letters and its complement (the sequence of bit parities) agree under any odd base modulo 2^64."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word[:64], word[:64].translate(str.maketrans("ab", "ba")), "Word's WORD. word!? don't, (x) naïve, É!"]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rows = packing.pack(documents(spark, texts), TOKENIZER).collect()
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        pieces = sorted((r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == i)
+        assert pieces == [(s, n, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[s:s + n]))) for s, n, _ in pieces]
+        assert sum(n for _, n, _ in pieces) == len(ids)
+
+
 def test_cuts_cost_least():
     draw = random.Random(3)
     for _ in range(200):

@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -42,6 +43,7 @@ class Words(dict):
     """
 
     MOST = 500_000
+    MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
     TAIL = re.compile(r"(.*[^!-&(-/:-@\[-`{-~'])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
     def __init__(self, path: str):
@@ -62,30 +64,34 @@ class Words(dict):
             self.clear()
         split, stems, odd = [], set(), []
         for word in words:
-            text = word.decode()
-            match = self.TAIL.fullmatch(text)
-            stem, tail = (match[1], match[2]) if match else (text, "")
-            stem = stem.lower()
-            if stem.isalpha() and unicodedata.is_normalized("NFC", stem) and unicodedata.is_normalized("NFC", text):
-                split.append((word, key := stem.encode(), tail))
-                if key not in self:
-                    stems.add(stem)
+            stem = word.rstrip(self.MARKS)
+            if stem.isalpha():  # of bytes: ASCII letters only, the usual case
+                key, tail = stem.lower(), word[len(stem):]
             else:
-                odd.append((word, text))
+                text = word.decode()
+                match = self.TAIL.fullmatch(text)
+                stem, tail = (match[1], match[2].encode()) if match else (text, b"")
+                stem = stem.lower()
+                if not (stem.isalpha() and unicodedata.is_normalized("NFC", stem) and unicodedata.is_normalized("NFC", text)):
+                    odd.append((word, text))
+                    continue
+                key = stem.encode()
+            if tail or key != word:
+                split.append((word, key, tail))
+            if key not in self:
+                stems.add(key)
         stems = list(stems)
         groups = [stems[i:i + 256] for i in range(0, len(stems), 256)]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
-            raw, start = ids.tobytes(), 0
-            for stem, end in zip(group, ends, strict=True):
-                self[stem.encode()] = raw[start:end]
-                start = end
+            raw = ids.tobytes()
+            self.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
         for word, key, tail in split:
             if tail:
-                if (mark := tail.encode()) not in self:
-                    self[mark] = self.ids(tail)
-                self[word] = self[key] + self[mark]
+                if tail not in self:
+                    self[tail] = self.ids(tail.decode())
+                self[word] = self[key] + self[tail]
             else:
                 self[word] = self[key]
         for word, text in odd:
@@ -101,7 +107,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 STOP = np.zeros(256, bool)
 STOP[[ord(c) for c in ".!?"]] = True
-BASE = 0x9E3779B97F4A7C15
+#: Words are told apart by a polynomial of their bytes modulo 2^64 whose base nobody knows beforehand, longer ones by a keyed
+#: hash: some long words of two letters have equal polynomials for every base. Modulo 8 the base is 5, which rules such words
+#: out up to ``SHORT`` bytes.
+BASE, KEY, SHORT = int.from_bytes(os.urandom(8)) >> 3 << 3 | 5, int.from_bytes(os.urandom(8)), 64
 
 
 @lru_cache(1)
@@ -121,6 +130,8 @@ def split(texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.nd
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
     h = (sums[end] - sums[begin]) * inverse[begin]
+    for i in np.flatnonzero(end - begin > SHORT).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[begin[i]:end[i]], KEY)
     edges = np.cumsum([1, *(len(p) + 1 for p in parts)])
     return data, begin, end, h ^ (h >> np.uint64(32)), np.diff(np.searchsorted(begin, edges))
 
