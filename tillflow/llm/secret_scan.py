@@ -150,7 +150,10 @@ def redacted(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     found = candidates(inner)
     hits = (scored(inner.select("text"), found, labelled).groupBy("_row")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("number", "is_secret"))), lambda x: x["is_secret"]).alias("hits")))
-    masked = F.array_join(F.transform("_parts", lambda p, i: F.when((i % 2 == 1) & F.get("hits", F.floor(i / 2).cast("int")), F.lit(MASK)).otherwise(p)), "")
+    # parts of a text that holds the marks itself were looked at with another character for them: their places in the text count
+    place = lambda i: F.aggregate(F.slice("_parts", 1, i), F.lit(0), lambda n, p: n + F.length(p))
+    own = lambda p, i: F.when(F.col("text").rlike(f"[{OPEN}{CLOSE}]"), F.substr(F.col("text"), place(i) + 1, F.length(p))).otherwise(p)
+    masked = F.array_join(F.transform("_parts", lambda p, i: F.when((i % 2 == 1) & F.get("hits", F.floor(i / 2).cast("int")), F.lit(MASK)).otherwise(own(p, i))), "")
     text, count = f"c{names.index('text')}", f"c{names.index('n_chars')}" if "n_chars" in names else None
     changed = found.join(hits, "_row").withColumn("_new", F.when(F.exists("hits", lambda h: h), masked).otherwise(F.col("text")))
     columns = [F.col("_new").alias(text) if c == text else F.when(F.exists("hits", lambda h: h), F.length("_new").cast(inner.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == count else F.col(c)
