@@ -263,6 +263,13 @@ def test_secrets_without_digits_short_or_in_addresses(spark):
     assert [out[i] for i in range(10)] == [t.replace(v, "[SECRET]") for t, v in secrets.items()] + clean
 
 
+def test_private_use_characters_come_back(spark):
+    text = "x\ue000 y \ue001\ue002 password=Xk29vQ8mZt41LpWq7 \ue001z"
+    table = documents(spark, [text, "\ue000 password=Xk29vQ8mZt41LpWq7\ue000", "plain \ue000"])
+    got = {r.doc_id: r.text for r in secret_scan.redacted(table).collect()}
+    assert got[0] == text.replace("Xk29vQ8mZt41LpWq7", secret_scan.MASK) and got[2] == "plain \ue000" and got[1].startswith("\ue000 password=")
+
+
 def test_secrets_odd_and_empty(odd, empty):
     assert secret_scan.findings(odd).columns == ["doc_id", "start", "length", "value_sha256", "score", "is_secret"]
     assert secret_scan.redacted(odd).count() == odd.count() and secret_scan.redacted(odd).columns == odd.columns
@@ -374,6 +381,20 @@ def test_mixing_meets_its_targets(docs):
         assert abs(sum(r.taken for r in mine) - target[source]) <= max(2 * mixing.BLOCK_WORDS, 0.03 * target[source])
 
 
+def test_small_sources_beside_a_large_one_meet_their_targets(spark):
+    """Sources of 6,000, 300 and 20 words beside 4 million: their targets are three times as much, and they come near."""
+    rows = [("a", 20_000, 200), ("b", 20, 300), ("c", 20, 300), ("d", 10, 30), ("e", 20, 1)]
+    parts = [spark.range(n).select(F.lit(s).alias("source"), F.concat(F.repeat(F.lit("w "), size - 1), F.col("id").cast("string")).alias("text"), F.lit(size).alias("words"))
+             for s, size, n in rows]
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    table = table.withColumn("doc_id", F.monotonically_increasing_id()).cache()
+    got = {r.source: r for r in mixing.mix(table).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") / F.col("size")).alias("most")).collect()}
+    assert all(r.most <= 3 for r in got.values())
+    assert all(abs(r.taken - r.target) <= max(64, 0.01 * r.target) for r in got.values()), got
+
+
 def test_apportionment_gives_the_highest_quotients(spark):
     draw = random.Random(9)
     rows = [(g, i, draw.randint(0, 1000), 5 + 20 * g) for g in range(4) for i in range(9)]

@@ -71,14 +71,17 @@ def apportion(rows: DataFrame, group: list[str], votes: str, seats: Column, orde
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted) and its key.
 
-    The words of a source in a shard, in seeded order, are cut into blocks of ``BLOCK_WORDS``. A shard's quota of blocks takes every
-    block as often as it can and then, evenly spaced from a seeded start, as many blocks as are left over.
+    A source has a shard per ``SHARD_WORDS`` of its own words, so a small one is not torn into parts. The words of a shard, in seeded
+    order, are cut into blocks of ``BLOCK_WORDS``. A shard's quota is that many words, at most three times its own: all of the
+    shard as often as they allow and then, evenly spaced from a seeded start, as many blocks as the words left over fill.
     """
     every = staged(sizes(docs, seed), "mix-sizes")
     sources = targets(every.groupBy("source").agg(F.sum("size").alias("source_size")))
     total = every.agg(F.sum("size")).first()[0] or 0
-    shards = 1 + total // SHARD_WORDS
-    every = every.withColumn("shard", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % shards)
+    pair = F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    every = every.withColumn("pair", pair)
+    widths = every.groupBy("pair").agg((1 + F.floor(F.sum("size") / SHARD_WORDS)).alias("shards"))
+    every = every.join(widths, "pair").withColumn("shard", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % F.col("shards")).drop("pair", "shards")
 
     blocks = F.lit(math.ceil(total / BLOCK_WORDS))
     quota = apportion(sources.withColumn("all", F.lit(0)), ["all"], "target", blocks, ["source"], "blocks").drop("all")
@@ -89,16 +92,17 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
                      ["pair"], "fan_size", F.col("blocks"), ["fan"], "fan_blocks")
     parts = apportion(held.join(fans, ["pair", "fan"]), ["pair", "fan"], "shard_size", F.col("fan_blocks"), ["shard"], "shard_blocks")
     parts = parts.withColumn("n", F.greatest(F.ceil(F.col("shard_size") / BLOCK_WORDS), F.lit(1)))
-    parts = staged(parts.select("pair", "shard", "source_size", "target", "shard_size", "n",
-                                F.least("shard_blocks", MOST_REPEATS * F.col("n")).alias("q")), "mix-quotas")
+    whole, own = F.least(BLOCK_WORDS * F.col("shard_blocks"), MOST_REPEATS * F.col("shard_size")), F.greatest("shard_size", F.lit(1))
+    parts = parts.withColumns({"q": whole, "every": F.floor(whole / own), "left": F.floor(whole % own / BLOCK_WORDS + 0.5)})
+    parts = staged(parts.select("pair", "shard", "source_size", "target", "n", "every", "left"), "mix-quotas")
 
     row = Window.partitionBy("pair", "shard").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
     start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "pair", "shard").cast("binary")), 1, 8), 16, 10).cast("long")
     placed = (every.withColumn("pair", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
               .withColumn("end", F.sum("size").over(row)).join(parts, ["pair", "shard"])
-              .withColumn("left", F.col("q") % F.col("n")).withColumn("turn", start % F.col("n")))
+              .withColumn("turn", start % F.col("n")))
     return placed.select("doc_id", "source", "size", "source_size", "target",
-                         (F.expr("q div n") * F.col("size") + _extra(F.col("end")) - _extra(F.col("end") - F.col("size"))).alias("taken"), "key")
+                         (F.col("every") * F.col("size") + _extra(F.col("end")) - _extra(F.col("end") - F.col("size"))).alias("taken"), "key")
 
 
 def _extra(words: Column) -> Column:

@@ -53,17 +53,19 @@ bids AS (
     SELECT pair, row_number() OVER (ORDER BY target / (2 * i + 1) DESC, source NULLS FIRST, i) AS place FROM targets, rounds WHERE target > 0),
 quota AS (SELECT pair, CAST(COUNT(*) AS BIGINT) AS blocks FROM bids WHERE place <= (SELECT blocks FROM total) GROUP BY pair),
 dealt AS (
-    SELECT *, CAST('0x' || substr(key, 1, 8) AS BIGINT) % (1 + (SELECT words FROM total) // 262144) AS shard FROM docs),
+    SELECT d.*, CAST('0x' || substr(key, 1, 8) AS BIGINT) % (1 + s.source_size // 262144) AS shard FROM docs AS d JOIN src AS s ON d.pair = s.pair),
 held AS (SELECT pair, shard, CAST(SUM(size) AS BIGINT) AS shard_size FROM dealt GROUP BY pair, shard),
 shard_bids AS (
     SELECT h.pair, h.shard, q.blocks, row_number() OVER (PARTITION BY h.pair ORDER BY h.shard_size / (2 * i + 1) DESC, h.shard, i) AS place
     FROM held AS h JOIN quota AS q ON h.pair = q.pair, rounds WHERE h.shard_size > 0 AND i <= q.blocks),
 won AS (SELECT pair, shard, CAST(COUNT(*) AS BIGINT) AS seats FROM shard_bids WHERE place <= blocks GROUP BY pair, shard),
 parts AS (
-    SELECT h.pair, h.shard, GREATEST(CAST(ceil(h.shard_size / 64.0) AS BIGINT), 1) AS n, COALESCE(w.seats, 0) AS seats,
+    SELECT h.pair, h.shard, h.shard_size, GREATEST(CAST(ceil(h.shard_size / 64.0) AS BIGINT), 1) AS n, COALESCE(w.seats, 0) AS seats,
            CAST('0x' || substr(md5('7:' || h.pair || ':' || CAST(h.shard AS VARCHAR)), 1, 8) AS BIGINT) AS turn
     FROM held AS h LEFT JOIN won AS w ON h.pair = w.pair AND h.shard = w.shard),
-shares AS (SELECT pair, shard, n, LEAST(seats, 3 * n) // n AS every, LEAST(seats, 3 * n) % n AS rest, turn % n AS turn FROM parts),
+shares AS (
+    SELECT pair, shard, n, LEAST(64 * seats, 3 * shard_size) // GREATEST(shard_size, 1) AS every,
+           CAST(floor((LEAST(64 * seats, 3 * shard_size) % GREATEST(shard_size, 1)) / 64.0 + 0.5) AS BIGINT) AS rest, turn % n AS turn FROM parts),
 placed AS (
     SELECT d.doc_id, d.source, d.size, d.pair, s.every, s.rest, s.turn, s.n,
            CAST(SUM(d.size) OVER (PARTITION BY d.pair, d.shard ORDER BY d.key, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS until
