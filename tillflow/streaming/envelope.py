@@ -40,11 +40,14 @@ def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str] = tuple(
 
 
 def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of envelopes kept as Parquet files, e.g. an archive of a topic; ``files_per_trigger`` limits a batch."""
+    """Stream of envelopes kept as Parquet files, e.g. an archive of a topic, with the ``_file`` each came from.
+
+    ``files_per_trigger`` limits a batch.
+    """
     reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
 
 
 def decode(envelopes: DataFrame) -> DataFrame:
