@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyspark.sql.functions as F
 import pytest
@@ -439,6 +440,28 @@ def test_quality_of_held_out_texts(spark):
     assert sum(truth[r.doc_id] == r.predicted for r in held) / len(held) > 0.95
 
 
+def test_equal_shapes_of_different_words_score_differently(spark):
+    good = "the committee reviewed three proposals and accepted the second one"
+    other = good.translate(str.maketrans("abcdefghijklmnopqrstuvwxyz", "zxqvkjzxqvkjzxqvkjzxqvkjzx"))
+    texts = [good, other] * 20 + [good.replace("three", "seven"), other.replace("q", "k", 2)]
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r.score for r in quality.score(documents(spark, texts), labels).collect()}
+    assert found[40] > 0.9 and found[41] < 0.1
+
+
+def test_votes_equal_a_plain_cosine_vote():
+    draw = np.random.default_rng(6)
+    sample, vectors, labels = draw.normal(size=(60, 8)), draw.normal(size=(30, 8)), draw.integers(0, 2, 60).astype(np.float32)
+    vectors[0] = 0
+    got = quality.vote(quality._unit(vectors), quality._unit(sample), labels)
+    for v, score in zip(vectors, got):
+        cosines = [float(v @ s / (np.linalg.norm(v) * np.linalg.norm(s) or 1)) for s in sample]
+        near = sorted(range(60), key=lambda i: -cosines[i])[:quality.NEIGHBOURS]
+        weights = [max(cosines[i], 0) ** quality.SHARPNESS for i in near]
+        want = sum(w * labels[i] for w, i in zip(weights, near)) / sum(weights) if sum(weights) > 1e-9 else labels.mean()
+        assert math.isclose(score, want, abs_tol=1e-6)
+
+
 def test_quality_odd_and_empty(spark, odd, empty):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)] + [(None, 1, 0), (3, None, 0), (3, 1, 1), (3, 0, 1)], "doc_id long, quality int, toxic int")
     assert quality.score(odd, labels).count() == odd.count()

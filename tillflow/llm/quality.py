@@ -1,12 +1,13 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-A text's terms are n-grams over character classes (lower, upper, digit, white space, each punctuation mark; runs shortened) and
-marks for words and lines that repeat. Their TF-IDF vectors, whose document frequencies count all documents, are projected on
+A text's terms are its words and their pieces of three and four letters, in lower case and hashed; beside them, as shape, n-grams over
+character classes (lower, upper, digit, white space, each punctuation mark; runs shortened) and marks for words and lines that repeat. Their TF-IDF vectors, whose document frequencies count all documents, are projected on
 the leading singular vectors of a labelled sample of at most ``MOST_LABELLED`` rows. Every document is compared with every
 vector of that sample by exact cosine products in blocks; the ``NEIGHBOURS`` nearest vote with weights by similarity.
 
 A text without terms (null, empty) or unlike all of the sample gets the share of label 1 in the sample, and 0.5 if there is no
-label. Whole texts count; of repeated label rows the smallest label holds; rows with equal ids are rows of their own; an empty
+label. Equal cosines at the edge of the neighbourhood are chosen by the order of the
+sample, the same in every run. Whole texts of any length count; of repeated label rows the smallest label holds; rows with equal ids are rows of their own; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .shared import fold, slices
@@ -25,11 +27,13 @@ RANK = 48
 NEIGHBOURS = 15
 SHARPNESS = 8
 THRESHOLD = 0.7
-ORDERS = (1, 2, 3, 4)
-HASHED = 1 << 13
-#: Behind the hashed n-grams: words equal to the one 1 to 4 words before, and lines seen before in the text, in ``LEVELS`` steps of share.
+ORDERS, PIECES = (1, 2, 3, 4), (3, 4)
+#: Hashed shapes, then hashed words and pieces of words.
+HASHED, WORDS = 1 << 13, 1 << 13
+#: Behind the hashed terms: words equal to the one 1 to 4 words before, and lines seen before in the text, in ``LEVELS`` steps of share.
 LAGS, LEVELS = 4, 6
-SPACE = HASHED + (LAGS + 1) * LEVELS
+MARKS = HASHED + WORDS
+SPACE = MARKS + (LAGS + 1) * LEVELS
 SLICE_BYTES = 1 << 18
 BLOCK = 1024
 
@@ -56,22 +60,34 @@ def terms(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         codes = CLASSES[np.frombuffer(data, np.uint8)]
         if len(codes) > 2:
             codes = codes[np.r_[True, True, (codes[2:] != codes[1:-1]) | (codes[1:-1] != codes[:-2])]]  # runs of two at most
-        h, parts = np.zeros(len(codes), np.uint32), []
-        for n in ORDERS:
-            if len(codes) >= n:
-                h = (h[: len(codes) - n + 1] + codes[n - 1:]) * np.uint32(0x9E3779B1)
-                parts.append((h >> np.uint32(19)).astype(np.int64))
-        counts = np.bincount(np.concatenate(parts), minlength=HASHED)
+        words, lines = data.split(), [line for line in data.split(b"\n") if line]
+        same = np.fromiter(map(xxhash.xxh32_intdigest, data.lower().split()), np.int64, len(words))
+        parts = [same % WORDS + HASHED]
+        parts += [h for _, h in _grams(codes, ORDERS)]
+        letters = np.frombuffer(data.lower(), np.uint8).astype(np.uint32)
+        inside = letters > 32
+        for n, h in _grams(letters, PIECES):
+            whole = np.lib.stride_tricks.sliding_window_view(inside, n).all(1)  # no piece reaches over white space
+            parts.append(h[whole] + HASHED)
+        counts = np.bincount(np.concatenate(parts), minlength=MARKS)
         at = np.flatnonzero(counts)
         counts = counts[at]
-        words, lines = data.split(), [line for line in data.split(b"\n") if line]
         same = np.fromiter(map(hash, words), np.int64, len(words))
         shares = [np.count_nonzero(same[lag:] == same[:-lag]) / max(1, len(words) - lag) for lag in range(1, LAGS + 1)]
         shares.append(1 - len(set(lines)) / max(1, len(lines)))
-        marks = [HASHED + k * LEVELS + i for k, share in enumerate(shares) for i in range(LEVELS) if share > 0.5 ** (LEVELS - i)]
+        marks = [MARKS + k * LEVELS + i for k, share in enumerate(shares) for i in range(LEVELS) if share > 0.5 ** (LEVELS - i)]
         yield np.r_[at, np.array(marks, np.int64)], (1 + np.log(np.r_[counts, np.full(len(marks), 20)])).astype(np.float32)
 
 
+def _grams(codes: np.ndarray, orders: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
+    """Per order the hashes of all n-grams, of 13 bits."""
+    h = np.zeros(len(codes), np.uint32)
+    for n in range(1, min(orders[-1], len(codes)) + 1):
+        h = (h[: len(codes) - n + 1] + codes[n - 1:]) * np.uint32(0x9E3779B1)
+        if n in orders:
+            yield n, (h >> np.uint32(19)).astype(np.int64)
+
+
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         seen, n = np.zeros(SPACE, np.int64), 0
