@@ -1,13 +1,16 @@
 """What keeps the cost of an event from growing with the plan around it: texts made once, parsed once, by all cores."""
 
 import datetime
+import glob
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tillflow.functions import documents as D
 from tillflow.plans.catalogue import QUERIES
-from tillflow.sources import retail_inputs as inputs
+from tillflow.sources import readers, retail_inputs as inputs, writers
+from tillflow.streaming import envelope, landing
 
 
 @pytest.fixture
@@ -48,3 +51,33 @@ def test_the_event_is_not_parsed_inside_another(spark):
 def test_exactly_one_object_is_an_event(spark, text, expected):
     row = spark.createDataFrame([(text,)], "text string").select(D.event_variant(F.col("text")).cast("string").alias("v")).first()
     assert row.v == expected
+
+
+def test_one_look_tells_exactly_one_value(spark):
+    df = spark.createDataFrame([("{}",)], "text string").select(D.is_whole_json(F.col("text")).alias("whole"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("jsonObjectKeys") == 1 and "lengthOfJsonArray" not in plan
+
+
+@pytest.mark.parametrize("text,expected", [
+    ('{"a":1},"w":0} rest', False), ('{"a":1},"v":1', False), ('{"a":1},2]', False), ('{"a":1}],[{"b":1}', False), ("1,2", False), ("1", True), ("[1,2]", True),
+    (' {"v":{"v":1}} ', True), (" ", False), (None, False)])
+def test_what_closes_the_test_itself_is_no_value(spark, text, expected):
+    assert spark.createDataFrame([(text,)], "text string").select(D.is_whole_json(F.col("text")).alias("whole")).first().whole is expected
+
+
+def columns_of(path):
+    files = glob.glob(f"{path}/**/*.parquet", recursive=True)
+    return {column.path for f in files for column in pq.ParquetFile(f).schema if column.path.startswith("_event.")}
+
+
+def test_layers_keep_the_event_as_one_value(spark, tables, tmp_path):
+    inputs.envelope(spark, tables, "pos").write.parquet(f"{tmp_path}/topics")
+    before = spark.conf.get("spark.sql.variant.inferShreddingSchema")
+    landing.land_raw(envelope.read_files(spark, f"{tmp_path}/topics"), str(tmp_path), f"{tmp_path}/_checkpoint", once=True).awaitTermination()
+    rows = readers.read_raw(spark, f"{tmp_path}/raw", "pos")
+    writers.write_table(rows, f"{tmp_path}/bronze", "overwrite", ["store_id"])
+    for path in ("raw", "bronze"):
+        assert columns_of(f"{tmp_path}/{path}") == {"_event.value", "_event.metadata"}
+    assert rows.where(F.try_variant_get("_event", "$.event_id", "string") == F.col("event_id")).count() == rows.count() > 0
+    assert spark.conf.get("spark.sql.variant.inferShreddingSchema") == before
