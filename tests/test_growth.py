@@ -53,6 +53,19 @@ def test_exactly_one_object_is_an_event(spark, text, expected):
     assert row.v == expected
 
 
+def test_raw_rows_of_one_row_group_are_made_by_many_tasks(spark, tables):
+    for made in inputs.RAW_INPUTS.values():
+        rows = made(spark, tables)
+        assert rows.count() == 2200
+        assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_events_are_dealt_before_they_are_parsed(spark, tables):
+    lines = inputs.late_envelope(spark, tables, "pos")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(lines) if "Repartition" in line)
+    assert any("get_json_object" in line for line in lines[:dealt]) and not any("get_json_object" in line for line in lines[dealt:])
+
+
 def test_one_look_tells_exactly_one_value(spark):
     df = spark.createDataFrame([("{}",)], "text string").select(D.is_whole_json(F.col("text")).alias("whole"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
