@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -14,6 +15,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from tillflow.llm import language, mixing, packing, quality, repeats, secret_scan, simhash, suffix_tree
+from tillflow.llm.shared import _STAGED
 
 from .conftest import documents
 
@@ -201,6 +203,23 @@ def test_suffix_tree_odd_and_empty(odd, empty):
     assert suffix_tree.score(empty).count() == 0
 
 
+def test_suffix_tree_writes_little(spark, monkeypatch):
+    """What lies on disk between the passes stays near the size of the texts: blocks, tables of a step and answers together."""
+    draw, written = random.Random(11), []
+    vocabulary = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(vocabulary[int(3000 * draw.random() ** 3)] for _ in range(300)) for _ in range(1500)]
+    before = suffix_tree.staged
+
+    def staged(df, purpose, **options):
+        out = before(df, purpose, **options)
+        path = _STAGED[id(out)][1].removeprefix("file:")
+        written.append(sum(p.stat().st_size for p in Path(path).glob("*.parquet")))
+        return out
+    monkeypatch.setattr(suffix_tree, "staged", staged)
+    assert suffix_tree.score(documents(spark, texts)).count() == len(texts)
+    assert sum(written) < 2 * sum(map(len, texts))
+
+
 # ---- repeats --------------------------------------------------------------------------------------------------------
 
 
