@@ -39,7 +39,7 @@ BITS = 1 << 26
 BLOCK_BYTES = 12 << 20
 SLICE_BYTES = 1 << 20
 PART_BYTES = 8 << 20
-#: Blocks are answered in so many rounds: only one round's requests lie on disk at a time.
+#: Blocks are scored in so many rounds: only one round's requests and answers lie on disk at a time.
 ROUNDS = 3
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -528,14 +528,16 @@ def score(docs: DataFrame) -> DataFrame:
     texts = kept(blocks(docs), "tree-blocks")
     known, total, kinds = model(texts, parts)
     in_model = together(known, parts)
-    found = []
-    for i in range(ROUNDS):
-        requests = asked(texts.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == i), in_model, parts)
-        answers = requests.groupBy("part").cogroup(known.drop("bits").groupBy("part")).applyInArrow(lambda key, r, m: answered(r, m), ANSWERED)
-        found.append(kept(answers, "tree-found"))
-    found = reduce(DataFrame.union, found)
-    discard(known)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
-        lambda key, t, f: scores(t, f, in_model.value, parts, total, kinds), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    out = []
+    for i in range(ROUNDS):
+        own = texts.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == i)
+        answers = asked(own, in_model, parts).groupBy("part").cogroup(known.drop("bits").groupBy("part")).applyInArrow(lambda key, r, m: answered(r, m), ANSWERED)
+        found = kept(answers, "tree-found")
+        rows = own.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(lambda key, t, f: scores(t, f, in_model.value, parts, total, kinds), schema)
+        out.append(kept(rows, "tree-scores"))
+        discard(found)
+    discard(known, texts)
+    out = reduce(DataFrame.union, out)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
