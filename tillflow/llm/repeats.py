@@ -122,6 +122,22 @@ def cut(texts: DataFrame, repeated) -> DataFrame:
     return texts.mapInArrow(run, "anchor long, sid binary, sha string, start long, part binary")
 
 
+def stable_order(values: np.ndarray) -> np.ndarray:
+    """As a stable argsort of numbers from 0 below 2^31: each number and its place are sorted as one."""
+    return (np.sort(values.astype(np.int64) << 32 | np.arange(len(values))) & (1 << 32) - 1)
+
+
+def packed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The columns in fewer ones of the same order: as many side by side as 63 bits hold."""
+    bits = max(int(c.max(initial=0)).bit_length() for c in columns) or 1
+    out = []
+    for i in range(0, len(columns), 63 // bits):
+        out.append(columns[i].astype(np.int64))
+        for c in columns[i + 1:i + 63 // bits]:
+            out[-1] = out[-1] << bits | c
+    return out
+
+
 def interleaved(orders: list[np.ndarray], transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows of all shards in the order of their first ``rounds`` symbols, and each row's common prefix with the row before.
 
@@ -135,7 +151,7 @@ def interleaved(orders: list[np.ndarray], transforms: list[np.ndarray], rounds:
     for h in range(1, rounds + 1):
         for j, b in enumerate(transforms):
             preceding[shard == j] = b
-        source = np.argsort(preceding, kind="stable")
+        source = stable_order(preceding)
         symbol, came, ended = preceding[source], block[source], int(np.count_nonzero(preceding == 0))
         shard = shard[source]
         shard[:ended] = np.sort(shard[:ended])  # strings that have ended are one block, in the order of the shards
@@ -159,12 +175,13 @@ def repeated_windows(parts: list[bytes]) -> list[np.ndarray]:
     place = (np.arange(total) - begins[part]).astype(np.int32)
     symbols = np.zeros(total + WINDOW, np.int32)
     real = np.flatnonzero(place <= sizes[part] - STEP)
-    symbols[real] = np.unique(rolling(raw, STEP)[real], return_inverse=True)[1] + 1
+    symbols[real] = pa.array(rolling(raw, STEP)[real]).dictionary_encode().indices.to_numpy() + 1
     del real
     rounds = WINDOW // STEP
     columns = [symbols[:total]]
     for k in range(1, rounds):  # behind the end of a string there is nothing
         columns.append(np.where(columns[-1] > 0, symbols[k * STEP:k * STEP + total], 0))
+    columns = packed(columns)
     preceding = np.where(place >= STEP, np.r_[np.zeros(STEP, np.int32), symbols[:total - STEP]], 0)
     orders, transforms = [], []
     for j in range(SHARDS):
