@@ -37,6 +37,7 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 class Words(dict):
     """The ids of a word as little-endian bytes. Words never merge across white space, so a text's ids are its words' ids.
+    Of more than ``MOST`` words, those that do not come again before as many others have come are forgotten.
 
     A word of letters with ASCII punctuation behind it is two such units, and letters make one unit only, whose last id is
     the only one that ends a unit: so many of them can be encoded as one text and parted again.
@@ -51,6 +52,7 @@ class Words(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -61,8 +63,13 @@ class Words(dict):
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) > self.MOST:
+            self.older = dict(self)
             self.clear()
-        split, stems, odd = [], set(), []
+        split, stems, odd, older = [], set(), [], self.older
+        if older:
+            known = words & older.keys()
+            self.update((word, older[word]) for word in known)
+            words = words - known
         for word in words:
             stem = word.rstrip(self.MARKS)
             if stem.isalpha():  # of bytes: ASCII letters only, the usual case
@@ -79,7 +86,10 @@ class Words(dict):
             if tail or key != word:
                 split.append((word, key, tail))
             if key not in self:
-                stems.add(key)
+                if key in older:
+                    self[key] = older[key]
+                else:
+                    stems.add(key)
         stems = list(stems)
         groups = [stems[i:i + 256] for i in range(0, len(stems), 256)]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
@@ -142,7 +152,9 @@ def encode(texts: list[str | None], words: Words) -> Iterator[tuple[bytes, list[
     Each distinct word of the texts is looked up once.
     """
     data, begin, end, h, counts = split(texts)
-    _, first, kind = np.unique(h, return_index=True, return_inverse=True)
+    kind = pa.array(h).dictionary_encode().indices.to_numpy()
+    first = np.zeros(int(kind.max(initial=-1)) + 1, np.int64)
+    first[kind[::-1]] = np.arange(len(kind))[::-1]
     keys = [data[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
     found = list(map(words.get, keys))
     if gaps := [i for i, x in enumerate(found) if x is None]:
