@@ -173,6 +173,8 @@ class Tokenizers:
 
 def _kind(word: str) -> int:
     """0 and 1: words that may be put together, of ASCII letters and of others; 2: those with white space at an end or with B's sign for a space."""
+    if word.isascii() and word[0] > " " and word[-1] > " ":
+        return 0
     return 2 if word[0].isspace() or word[-1].isspace() or "▁" in word else int(not word.isascii())
 
 
@@ -207,7 +209,7 @@ class Words:
             ids[0].append(found[0])
             ids[1].append(found[1])
         flat = [np.concatenate(i) for i in ids]
-        sizes = np.fromiter((len(w.encode()) + 1 for w in words), np.int64, n)
+        sizes = np.fromiter(map(len, map(str.encode, words)), np.int64, n) + 1
         ends = np.cumsum(sizes * good)
         a_end, b_end = np.cumsum(both.a_size[flat[0]]), np.cumsum(both.b_size[flat[1]])
         cut = np.sort(np.concatenate([a_end, b_end]), kind="stable")
