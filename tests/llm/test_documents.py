@@ -111,6 +111,18 @@ def test_words_of_equal_polynomials_keep_their_ids(spark):
         assert sum(n for _, n, _ in pieces) == len(ids)
 
 
+def test_words_are_not_encoded_again_when_forgotten():
+    words, asked = packing.Words(TOKENIZER), []
+    words.MOST = 2
+    first, second = {b"alpha", b"beta", b"gamma,"}, {b"alpha", b"delta"}
+    words.learn(first)
+    kept = {w: words[w] for w in first}
+    learn = words.tokenizer
+    words.tokenizer = type("T", (), {"encode_batch_fast": lambda self, texts, **o: asked.extend(texts) or learn.encode_batch_fast(texts, **o)})()
+    words.learn(second)
+    assert asked == ["delta"] and words[b"alpha"] == kept[b"alpha"]
+
+
 def test_cuts_cost_least():
     draw = random.Random(3)
     for _ in range(200):
@@ -220,6 +232,14 @@ def test_suffix_tree_writes_little(spark, monkeypatch):
     assert sum(written) < 2 * sum(map(len, texts))
 
 
+def test_repeats_sort_as_before():
+    draw = np.random.default_rng(5)
+    for most in (1, 3, 1 << 20, (1 << 31) - 1):
+        columns = [draw.integers(0, most, 500).astype(np.int32) for _ in range(5)]
+        assert (np.lexsort(repeats.packed(columns)[::-1]) == np.lexsort(columns[::-1])).all()
+        assert (repeats.stable_order(columns[0]) == np.argsort(columns[0], kind="stable")).all()
+
+
 # ---- repeats --------------------------------------------------------------------------------------------------------
 
 
