@@ -154,6 +154,26 @@ def test_counts_of_another_corpus(spark):
     assert (got[0].count_sum, got[0].n_best) == (3 * got[0].n_links, got[0].n_links) and (got[1].count_sum, got[1].n_best) == (0, 0)
 
 
+def test_alignment_reads_texts_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    got = alignment.align(docs, A, B)
+    assert not set(docs.inputFiles()) & set(got.inputFiles()) and "text" not in got._jdf.queryExecution().analyzed().toString()
+    assert got.count() == 50
+
+
+def test_quick_ways_to_words_and_their_ids():
+    draw = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(draw.choice("aé  \n\t\x1c\x85\xa0\u2003\u200b日") for _ in range(draw.randint(1, 9)))
+        assert alignment._cut(text) == alignment.CUT.split(text)
+    both = alignment.tokenizers(A, B)
+    latin = [chr(i) for i in range(1, 256)]
+    texts = [" " + x + c + y + x for c in latin for x in ["", "a", "1", "é", "'", "\n", "\xa0"] for y in latin[::5]]
+    assert [both.quick.encode_ordinary(t) for t in texts] == [f.ids for f in both.a.encode_batch(texts, add_special_tokens=False)]
+    words = ["abc", "été", "naïve\x85x", "日本", "ı", "\xa0x", "x\u2003", "a▁b", "ÿ", "Ā"]
+    assert alignment._kinds(words).tolist() == [0, 0, 0, 1, 1, 2, 2, 2, 0, 1]
+
+
 # ---- Jaccard join ---------------------------------------------------------------------------------------------------
 
 

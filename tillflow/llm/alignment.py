@@ -3,15 +3,15 @@
 Space + text is tokenized by a byte-level BPE (A) and by a sentencepiece model (B). Byte offsets where tokens of both end cut the
 tokens into groups; A and B tokens whose byte ranges overlap are links, one per byte range between neighbouring ends.
 
-First pass: each task counts, per pair of ids, its documents that hold the pair linked, and writes the pairs in shards of A ids.
-Per shard, a minimal perfect hash of the distinct pairs is built (levels of bits; a key that falls alone on a bit keeps it, the
+First pass: texts become ids, which are written; each task counts, per pair of ids, its documents that hold the pair linked, and
+writes the pairs in shards of A ids. Per shard, a minimal perfect hash of the distinct pairs is built (levels of bits; a key that falls alone on a bit keeps it, the
 others go to the next level; a key's index is the number of bits before its own), the tasks' counts become dense vectors
-indexed by it, and the vectors are summed in a tree. Second pass: documents are aligned again and look their pairs up;
+indexed by it, and the vectors are summed in a tree. Second pass: the written ids are aligned again and look their pairs up;
 the pair kept at an index is compared with the one asked for, so pairs that the table does not have count 0. An A id's pairs
 are in one shard, which so knows the highest of them. Tables larger than ``ROUND`` pairs are looked up in several rounds.
 
-Both tokenizers cut at a space between two other characters, so texts are tokenized by such words and a worker keeps the words it
-has met. Null and empty texts, and texts whose tokens do not give their bytes back, have no tokens: zeros and empty groups.
+Both tokenizers cut at a space between two other characters, so texts are tokenized by such words and a worker keeps the ids of
+the words it has met. Null and empty texts, and texts whose tokens do not give their bytes back, have no tokens: zeros and empty groups.
 Special tokens inside texts are plain text. A text of any length is taken whole. Rows with equal ids are documents of their own
 and are counted each; null ids are kept; ties for the highest count are all highest. An empty table gives an empty result; other
 columns are ignored.
@@ -22,11 +22,16 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from collections import defaultdict
 from functools import lru_cache
+from itertools import chain, islice
+from operator import eq
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 import sentencepiece
 import tiktoken
 from pyspark import TaskContext
@@ -45,8 +50,10 @@ MOST_WORDS, MOST_BYTES = 300_000, 32 << 20
 #: Pairs that a task holds before it merges them.
 HELD = 4_000_000
 #: Words put together in one text for the tokenizers.
-JOINED = 4096
+JOINED = 256
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: White space other than the space.
+SPACES = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c != " "]
 PIECES = "shard int, part long, keys binary, counts binary"
 TABLE = "shard int, part long, n long, sizes binary, words binary, keys binary"
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
@@ -132,7 +139,7 @@ class Tokenizers:
                         for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))]
         if any(re.search("[^▁]▁", p) for p in self.b.id_to_piece(list(range(self.b.get_piece_size())))):
             raise ValueError("a piece of this model spans words")
-        # where merges are ranked by their result's id, words of ASCII letters take a quicker way to the same ids
+        # where merges are ranked by their result's id, words of Latin-1 characters take a quicker way to the same ids
         merges = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
         ranks = [model["vocab"][x + y] for x, y in merges]
         plain = ranks == sorted(ranks) and min(ranks, default=256) >= 256 and {len(spelled[i]) for i in range(256)} == {1}
@@ -141,41 +148,55 @@ class Tokenizers:
         if len(self.a_bytes) << self.shift > 1 << 32:
             raise ValueError("a pair of ids does not fit in 32 bits")
         self.kind = np.dtype(np.uint32)
+        self.ids = [np.dtype(np.uint16 if len(b) <= 1 << 16 else np.uint32) for b in (self.a_bytes, self.b_bytes)]
         self.a_size, self.b_size = (np.array(list(map(len, b)), np.int64) for b in (self.a_bytes, self.b_bytes))
         texts = [f"{i}{end}".encode() for n, ends in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for end in ends for i in range(n)]
         self.texts = np.array(texts, object)
 
-    def _a_ids(self, texts: list[str]) -> list[list[int]]:
-        if self.quick and all(map(str.isascii, texts)):
-            return [self.quick.encode_ordinary(t) for t in texts]
-        return [found.ids for found in self.a.encode_batch(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], quick: bool) -> tuple[list[list[int]], list[np.ndarray]]:
+        a = [f" {t}" for t in texts]
+        a = list(map(self.quick.encode_ordinary, a)) if quick and self.quick else [f.ids for f in self.a.encode_batch(a, add_special_tokens=False)]
+        return a, self.b.encode(texts, num_threads=1, return_type="numpy")
 
-    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """The ids of both for words put together by spaces; None if they do not give back the bytes."""
+    def _flat(self, a: list[list[int]], b: list[np.ndarray]) -> list[np.ndarray]:
+        return [np.fromiter(chain.from_iterable(a), self.ids[0]), np.concatenate([np.zeros(0, self.ids[1]), *b]).astype(self.ids[1])]
+
+    def joined(self, words: list[str], quick: bool) -> list[np.ndarray] | None:
+        """The ids of both for words put together by spaces; None if they do not give back the bytes. ``quick``: words are Latin-1."""
         texts = [" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
-        a, b = ([i for ids in found for i in ids] for found in (self._a_ids([f" {t}" for t in texts]), self.b.encode(texts, num_threads=1)))
-        raw = b"".join([f" {t}".encode() for t in texts])
-        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+        a, b = self._flat(*self._ids(texts, quick))
+        raw = "".join([f" {t}" for t in texts]).encode()
+        if any(b"".join(map(spelled.__getitem__, ids.tolist())) != raw for spelled, ids in ((self.a_bytes, a), (self.b_bytes, b))):
             return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        return [a, b]
 
-    def alone(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    def alone(self, words: list[str], quick: bool) -> tuple[list[np.ndarray], np.ndarray]:
         """The ids of both for words one by one, and which words give back their bytes; the others have no ids."""
         good, flat = [], ([], [])
-        for word, a, b in zip(words, self._a_ids([f" {w}" for w in words]), self.b.encode(words, num_threads=1)):
+        for word, a, b in zip(words, *self._ids(words, quick)):
             raw = f" {word}".encode()
-            good.append(b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b]))
+            good.append(b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b.tolist()]))
             if good[-1]:
-                flat[0].extend(a)
-                flat[1].extend(b)
-        return [np.array(f, np.int64) for f in flat], np.array(good, bool)
+                flat[0].append(a)
+                flat[1].append(b)
+        return self._flat(*flat), np.array(good, bool)
+
 
+def _kinds(words: list[str]) -> np.ndarray:
+    """0 and 1: words that may be put together, of Latin-1 characters and of others; 2: those with white space at an end or with B's sign for a space."""
+    loose = ~np.fromiter(map(eq, map(str.strip, words), words), bool, len(words))
+    other = ~np.fromiter(map(str.isascii, words), bool, len(words))
+    out = 2 * loose.astype(np.int64)
+    for i in np.flatnonzero(other & ~loose).tolist():
+        out[i] = 2 if "▁" in words[i] else int(max(words[i]) > "\xff")
+    return out
 
-def _kind(word: str) -> int:
-    """0 and 1: words that may be put together, of ASCII letters and of others; 2: those with white space at an end or with B's sign for a space."""
-    if word.isascii() and word[0] > " " and word[-1] > " ":
-        return 0
-    return 2 if word[0].isspace() or word[-1].isspace() or "▁" in word else int(not word.isascii())
+
+def _cut(text: str) -> list[str]:
+    """The words of a text: cut at spaces between two characters that are no white space."""
+    if "  " in text or text[0] == " " or text[-1] == " " or any(c in text and (f"{c} " in text or f" {c}" in text) for c in SPACES):
+        return CUT.split(text)
+    return text.split(" ")
 
 
 @lru_cache(1)
@@ -184,89 +205,106 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
 
 
 class Words:
-    """The words a worker has met: counts of tokens, groups and links, their pairs, and with a ``lookup`` of pairs what it gives and the groups as text."""
+    """The words a worker has met: their ids of both sides."""
 
-    def __init__(self, both: Tokenizers, lookup=None):
-        self.both, self.lookup, self.kept = both, lookup, None
+    def __init__(self, both: Tokenizers):
+        self.both, self.index = both, defaultdict()
+        self.index.default_factory = self.index.__len__  # a new word gets the next number
         self.forget()
 
     def forget(self) -> None:
-        self.index, self.groups, self.size = {}, [], 0
-        self.numbers = np.zeros((7, 0), np.int64)  # A tokens, B tokens, groups, links, tokens do not give the bytes back, best links, sum of counts
-        self.keys = np.zeros(0, self.both.kind)
-        self.until = np.zeros(1, np.int64)
+        self.index.clear()
+        self.size, self.bad = 0, np.zeros(0, bool)
+        self.ids = [np.zeros(0, kind) for kind in self.both.ids]
+        self.start, self.count = ([np.zeros(0, np.int64)] * 2 for _ in range(2))
 
     def learn(self, words: list[str]) -> None:
-        both, kinds = self.both, np.fromiter(map(_kind, words), np.int64, len(words))
-        order = np.argsort(kinds, kind="stable").tolist()
-        words, n = [words[i] for i in order], len(words)
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(kinds, minlength=3))])
-        good, ids = np.ones(n, bool), [[], []]
-        for kind, (x, y) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-            found = both.joined(words[x:y]) if x < y and kind < 2 else None
+        both, kinds, n = self.both, _kinds(words), len(words)
+        order = np.argsort(kinds, kind="stable")
+        words = [words[i] for i in order.tolist()]
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(kinds, minlength=3))]).tolist()
+        good, ids = np.ones(n, bool), []
+        for kind, (x, y) in enumerate(zip(bounds[:-1], bounds[1:])):
+            found = both.joined(words[x:y], kind == 0) if x < y and kind < 2 else None
             if found is None:
-                found, good[x:y] = both.alone(words[x:y])
-            ids[0].append(found[0])
-            ids[1].append(found[1])
-        flat = [np.concatenate(i) for i in ids]
+                found, good[x:y] = both.alone(words[x:y], kind == 0)
+            ids.append(found)
         sizes = np.fromiter(map(len, map(str.encode, words)), np.int64, n) + 1
-        ends = np.cumsum(sizes * good)
-        a_end, b_end = np.cumsum(both.a_size[flat[0]]), np.cumsum(both.b_size[flat[1]])
-        cut = np.sort(np.concatenate([a_end, b_end]), kind="stable")
-        again = np.concatenate([cut[1:] == cut[:-1], [False]])[: len(cut)]  # ends of a side are all different
-        common, cut = cut[again], cut[~again]
-        # the byte range that ends at a cut is in one token of each side
-        keys = (flat[0][np.searchsorted(a_end, cut)] << both.shift | flat[1][np.searchsorted(b_end, cut)]).astype(both.kind)
-        word = lambda places: np.bincount(np.searchsorted(ends, places), minlength=n)
-        links = word(cut)
-        counts = [word(e) for e in (a_end, b_end)]
-        new = np.zeros((7, n), np.int64)
-        new[:5] = counts[0], counts[1], word(common), links, ~good
-        if self.lookup:
-            found = np.zeros((2, len(keys) + 1), np.int64)
-            found[:, 1:] = np.cumsum(self.lookup(keys), axis=1)
-            last = np.cumsum(links)
-            new[5:] = found[:, last] - found[:, last - links]
-            # texts of ids in the order of groups, each group's A ids before its B ids
-            group = [np.searchsorted(common, e) for e in (a_end, b_end)]
-            closes = [np.isin(e, common) for e in (a_end, b_end)]
-            n_a, n_b = len(both.a_bytes), len(both.b_bytes)
-            codes = np.concatenate([flat[0] + n_a * closes[0], 2 * n_a + flat[1] + n_b * closes[1]])
-            order = np.lexsort((np.repeat([0, 1], list(map(len, flat))), np.concatenate(group)))
-            texts, stops = both.texts[codes[order]].tolist(), np.cumsum(counts[0] + counts[1]).tolist()
-            self.groups += [b"".join(texts[x:y])[:-1] for x, y in zip([0, *stops], stops)]
-        self.index.update(zip(words, range(len(self.index), len(self.index) + n)))
-        self.numbers = np.concatenate([self.numbers, new], 1)
-        self.keys = np.concatenate([self.keys, keys])
-        self.until = np.concatenate([self.until, self.until[-1] + np.cumsum(links)])
+        ends, bad = np.cumsum(sizes * good), np.zeros(n, bool)
+        bad[order] = ~good
+        self.bad = np.concatenate([self.bad, bad])
+        for side, size in enumerate((both.a_size, both.b_size)):
+            flat = np.concatenate([found[side] for found in ids])
+            counts = np.bincount(np.searchsorted(ends, np.cumsum(size[flat])), minlength=n)
+            start, count = np.empty((2, n), np.int64)
+            start[order], count[order] = np.cumsum(counts) - counts + len(self.ids[side]), counts
+            self.ids[side] = np.concatenate([self.ids[side], flat])
+            self.start[side], self.count[side] = np.concatenate([self.start[side], start]), np.concatenate([self.count[side], count])
         self.size += int(sizes.sum())
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Words of all texts, as numbers, and how many each text has; texts without tokens have none."""
+    def of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per side the ids of all texts, and how many each text has; texts without tokens have none."""
         if len(self.index) > MOST_WORDS or self.size > MOST_BYTES:
             self.forget()
-        parts = [CUT.split(t) if t else [] for t in texts]
-        flat = [w for p in parts for w in p]
-        found = list(map(self.index.get, flat))
-        if None in found:
-            self.learn(list(dict.fromkeys(w for w, i in zip(flat, found) if i is None)))
-            found = list(map(self.index.get, flat))
-        at, counts = np.array(found, np.int64), np.fromiter(map(len, parts), np.int64, len(parts))
-        text = np.repeat(np.arange(len(parts)), counts)
-        bad = np.bincount(text, self.numbers[4][at], len(parts)) > 0
-        return at[~bad[text]], np.where(bad, 0, counts)
-
-    def pairs(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts, before = [_cut(t) if t else [] for t in texts], len(self.index)
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+        del parts
+        if len(self.index) > before:
+            self.learn(list(islice(self.index, before, None)))
+        text = np.repeat(np.arange(len(texts)), counts)
+        bad = np.bincount(text, self.bad[at], len(texts)) > 0
+        at, ends = at[~bad[text]], np.cumsum(np.where(bad, 0, counts))
+        out = []
+        for ids, start, count in zip(self.ids, self.start, self.count):
+            n = count[at]
+            until = np.concatenate([[0], np.cumsum(n)])
+            out.append((ids[np.arange(until[-1]) + np.repeat(start[at] - until[:-1], n)], np.diff(until[np.concatenate([[0], ends])])))
+        return out
+
+
+class Links:
+    """Links of texts whose ids stand one after the other: one per byte range between neighbouring ends of tokens."""
+
+    def __init__(self, both: Tokenizers, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+        self.both, self.a, self.b, self.n_a, self.n_b = both, a, b, n_a, n_b
+        a_end, b_end = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
+        ends = np.zeros(int(a_end[-1]) + 1 if len(a) else 1, np.uint8)  # ends of a side are all different
+        ends[a_end] = 1
+        ends[b_end] += 2
+        ends = ends[ends > 0]
+        self.common, self.in_a, self.in_b = ends == 3, ends & 1, ends >> 1
+        self.till_a, self.till_b = (np.cumsum(e, dtype=np.int64) for e in (self.in_a, self.in_b))
+        # the byte range that ends there is in one token of each side
+        kind = both.kind.type
+        self.keys = a[self.till_a - self.in_a].astype(both.kind) << kind(both.shift) | b[self.till_b - self.in_b]
+        last = np.cumsum(n_a)  # the last A token of a text ends with the text
+        self.until = np.concatenate([[0], np.where(last > 0, np.searchsorted(self.till_a, last) + 1, 0)])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Per text the sum over its links."""
+        return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[self.until])
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The pairs linked in these texts, and in how many of them."""
-        text = np.repeat(np.arange(len(counts)), counts)
-        text, at = np.divmod(_distinct(text * len(self.index) + at), max(1, len(self.index)))
-        n = self.until[at + 1] - self.until[at]
-        keys = self.keys[np.arange(int(n.sum())) + np.repeat(self.until[at] - np.cumsum(n) + n, n)].astype(np.int64)
-        found = _distinct(np.repeat(text, n) << 32 | keys) & (1 << 32) - 1
+        text = np.repeat(np.arange(len(self.n_a)), np.diff(self.until))
+        found = _distinct(text << 32 | self.keys) & (1 << 32) - 1
         found.sort()
         first = _first(found)
         return found[first], np.diff(np.append(first, len(found)))
 
+    def groups(self) -> list[str]:
+        """Per text its groups (``a1,a2|b1;a3|b2,b3``)."""
+        in_a, in_b, group = self.in_a == 1, self.in_b == 1, np.cumsum(self.common) - self.common
+        # before an A token are the B tokens of earlier groups, before a B token the A tokens up to its group
+        before_b, until_a = np.concatenate([[0], self.till_b[self.common]]), self.till_a[self.common]
+        n_a, n_b = len(self.both.a_bytes), len(self.both.b_bytes)
+        codes = np.empty(len(self.a) + len(self.b), np.int64)
+        codes[np.arange(len(self.a)) + before_b[group[in_a]]] = self.a.astype(np.int64) + n_a * self.common[in_a]
+        codes[np.arange(len(self.b)) + until_a[group[in_b]]] = 2 * n_a + self.b.astype(np.int64) + n_b * self.common[in_b]
+        texts, stops = self.both.texts[codes].tolist(), np.cumsum(self.n_a + self.n_b).tolist()
+        return [b"".join(texts[x:y])[:-1].decode() for x, y in zip([0, *stops], stops)]
+
 
 def _first(ordered: np.ndarray) -> np.ndarray:
     """Where each different value of a sorted array begins."""
@@ -289,16 +327,22 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 # ---- first pass -----------------------------------------------------------------------------------------------------
 
 
-def _counted(batches, paths: tuple[str, str]):
-    """The task's pairs and their documents, by shard."""
+def _tokenized(batches, paths: tuple[str, str], rows: bool, pairs: bool):
+    """The documents' ids (``rows``), and the task's pairs and their documents by shard (``pairs``); the columns of the other kind are null."""
     both = tokenizers(*paths)
     words, keys, counts, held = Words(both), [], [], 0
+    names = ["doc_id", "a", "b", *(f.split()[0] for f in PIECES.split(", "))]
     for batch in slices(batches, "text", SLICE_BYTES):
-        at, n = words.of(batch["text"].to_pylist())
-        found = words.pairs(at, n)
-        keys.append(found[0])
-        counts.append(found[1])
-        held += len(found[0])
+        (a, n_a), (b, n_b) = words.of(batch["text"].to_pylist())
+        id_type = batch.column("doc_id").type
+        if rows:
+            nulls = [pa.nulls(batch.num_rows, t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], _binary(a, n_a), _binary(b, n_b), *nulls], names)
+        if pairs:
+            found = Links(both, a, b, n_a, n_b).pairs()
+            keys.append(found[0])
+            counts.append(found[1])
+            held += len(found[0])
         if held > HELD:
             merged = _merged(keys, counts)
             keys, counts = [merged[0]], [merged[1]]
@@ -309,8 +353,18 @@ def _counted(batches, paths: tuple[str, str]):
         for s in np.unique(shard).tolist():
             own = shard == s
             yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()), pa.array([part], pa.int64()), pa.array([keys[own].astype(both.kind).tobytes()], pa.binary()), pa.array([counts[own].astype(np.int64).tobytes()], pa.binary())],
-                [f.split()[0] for f in PIECES.split(", ")])
+                [pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([s], pa.int32()), pa.array([part], pa.int64()),
+                 pa.array([keys[own].astype(both.kind).tobytes()], pa.binary()), pa.array([counts[own].astype(np.int64).tobytes()], pa.binary())], names)
+
+
+def _binary(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    raw, stops = ids.tobytes(), (np.cumsum(counts) * ids.itemsize).tolist()
+    return pa.array([raw[x:y] for x, y in zip([0, *stops], stops)], pa.binary())
+
+
+def _tokens(docs: DataFrame, paths: tuple[str, str], rows: bool, pairs: bool) -> DataFrame:
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, a binary, b binary, {PIECES}"
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _tokenized(batches, paths, rows, pairs), schema)
 
 
 def _row(schema: str, *values) -> pa.Table:
@@ -330,10 +384,13 @@ def _up(df: DataFrame, combine, schema: str) -> DataFrame:
 
 def count_pairs(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Per shard the perfect hash of its pairs (n, sizes, words, keys) and ``counts``: twice a pair's documents, plus 1 where its A id has no higher one."""
-    both = tokenizers(a_path, b_path)
+    docs = docs.select(F.lit(0).alias("doc_id"), "text")
+    return _ranked(staged(_tokens(docs, (a_path, b_path), False, True), "alignment-pieces"), tokenizers(a_path, b_path))
+
+
+def _ranked(written: DataFrame, both: Tokenizers) -> DataFrame:
     kind, shift = both.kind, both.shift
-    paths = (a_path, b_path)
-    pieces = staged(docs.select("text").mapInArrow(lambda batches: _counted(batches, paths), PIECES), "alignment-pieces")
+    pieces = written.where(F.col("shard").isNotNull()).select("shard", "part", "keys", "counts")
     parts = 1 + (pieces.agg(F.max("part")).first()[0] or 0)
     levels = 1
     while FAN ** levels < parts:
@@ -416,24 +473,19 @@ class Counts:
 def _aligned(batches, paths: tuple[str, str], table, later: bool):
     """The rows with what their pairs have in this part of the table; ``later``: added to what earlier rounds found."""
     both = tokenizers(*paths)
-    words = Words(both, Counts(table.value, both))
-    for batch in slices(batches, "text", SLICE_BYTES):
-        texts = batch["text"].to_pylist()
-        at, counts = words.of(texts)
-        text = np.repeat(np.arange(len(texts)), counts)
-        sums = np.zeros((7, len(texts) + 1), np.int64)
-        ends = np.cumsum(counts)
-        totals = np.concatenate([np.zeros((7, 1), np.int64), np.cumsum(words.numbers[:, at], axis=1)], 1)
-        sums = totals[:, ends] - totals[:, ends - counts]
+    lookup = Counts(table.value, both)
+    for batch in slices(batches, "b", SLICE_BYTES // 2):
+        ids = [np.frombuffer(b"".join(batch[c].to_pylist()), kind) for c, kind in zip("ab", both.ids)]
+        sizes = [pa.compute.binary_length(batch[c]).to_numpy() // kind.itemsize for c, kind in zip("ab", both.ids)]
+        links = Links(both, *ids, *(n.astype(np.int64) for n in sizes))
+        best, sums = map(links.sums, lookup(links.keys))
         if later:
-            sums[5] += batch["n_best"].to_numpy()
-            sums[6] += batch["count_sum"].to_numpy()
+            best, sums = best + batch["n_best"].to_numpy(), sums + batch["count_sum"].to_numpy()
             groups = batch["groups"]
         else:
-            number, known = at.tolist(), words.groups
-            groups = pa.array([b";".join([known[i] for i in number[e - n:e]]).decode() for e, n in zip(ends.tolist(), counts.tolist())], pa.string())
-        own = [pa.array(sums[i]) for i in (0, 1, 2, 3, 5, 6)]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], *own, groups], ["doc_id", "text", *(f.split()[0] for f in ALIGNED.split(", "))])
+            groups = pa.array(links.groups(), pa.string())
+        own = [pa.array(x) for x in (links.n_a, links.n_b, links.sums(links.common), np.diff(links.until), best, sums)]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "a", "b")), *own, groups], ["doc_id", "a", "b", *(f.split()[0] for f in ALIGNED.split(", "))])
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, table: DataFrame | None = None) -> DataFrame:
@@ -442,19 +494,22 @@ def align(docs: DataFrame, a_path: str, b_path: str, table: DataFrame | None = N
     Counts are those of ``table``, as ``count_pairs`` gives it; by default of these documents.
     """
     spark, paths = docs.sparkSession, (a_path, b_path)
-    table = count_pairs(docs, a_path, b_path) if table is None else table
+    written = _tokens(docs, paths, True, table is None)
+    if table is None:
+        written = staged(written, "alignment-tokens", codec="zstd")
+        table = _ranked(written, tokenizers(*paths))
     rounds, held = [[]], 0
     for r in table.select("shard", "n").orderBy("shard").collect():  # SHARDS rows at most
         if rounds[-1] and held + r.n > ROUND:
             rounds, held = [*rounds, []], 0
         rounds[-1].append(r.shard)
         held += r.n
-    out = docs.select("doc_id", "text")
+    out = written.where(F.col("shard").isNull()).select("doc_id", "a", "b")
     for i, shards in enumerate(rounds):
         rows = table.where(F.col("shard").isin(shards)).select("shard", "sizes", "words", "keys", "counts").toArrow().to_pylist()
         part = spark.sparkContext.broadcast(rows)
-        schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, {ALIGNED}"
+        schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, a binary, b binary, {ALIGNED}"
         out = out.mapInArrow(lambda batches, part=part, i=i: _aligned(batches, paths, part, i > 0), schema)
         if i + 1 < len(rounds):
             out = staged(out, "alignment-round")
-    return out.drop("text")
+    return out.drop("a", "b")
