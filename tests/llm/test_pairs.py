@@ -154,11 +154,25 @@ def test_counts_of_another_corpus(spark):
     assert (got[0].count_sum, got[0].n_best) == (3 * got[0].n_links, got[0].n_links) and (got[1].count_sum, got[1].n_best) == (0, 0)
 
 
-def test_alignment_reads_texts_once(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+def test_alignment_reads_texts_once(spark, tmp_path):
+    documents(spark, ["some words", None, "", "some other words"]).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
     got = alignment.align(docs, A, B)
     assert not set(docs.inputFiles()) & set(got.inputFiles()) and "text" not in got._jdf.queryExecution().analyzed().toString()
-    assert got.count() == 50
+    assert got.count() == 4
+
+
+def test_long_texts_are_linked_in_pieces(monkeypatch):
+    both = alignment.tokenizers(A, B)
+    (a, n_a), (b, n_b) = alignment.Words(both).of(["", "Some words, été and 日本語 テキスト again: some words  and\n\nmore; antidisestablishmentarianism. " * 9, None])
+    whole, pairs = alignment.Links(both, a, b, n_a, n_b), alignment._pairs(both, a, b, n_a, n_b)
+    for most in (1, 7, 50, len(b) // 2):
+        monkeypatch.setattr(alignment, "LONG", most)
+        pieces = list(alignment._pieces(both, a, b, n_a, n_b))
+        assert len(pieces) > 1 and np.array_equal(np.concatenate([p.keys for p in pieces]), whole.keys)
+        assert [";".join(filter(None, g)) for g in zip(*(p.groups() for p in pieces))] == whole.groups()
+        assert np.array_equal(sum(p.sums(p.common) for p in pieces), whole.sums(whole.common))
+        assert all(map(np.array_equal, alignment._pairs(both, a, b, n_a, n_b), pairs))
 
 
 def test_quick_ways_to_words_and_their_ids():

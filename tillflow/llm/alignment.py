@@ -45,6 +45,8 @@ SHARDS = 256
 #: Vectors that one task sums, and pairs of a broadcast table (13 bytes each).
 FAN, ROUND = 64, 8_000_000
 SLICE_BYTES = 4 << 20
+#: Tokens of B after which links of one long text are made in pieces.
+LONG = 1 << 20
 #: Words a worker keeps, and the bytes of all their characters, before it starts anew.
 MOST_WORDS, MOST_BYTES = 300_000, 32 << 20
 #: Pairs that a task holds before it merges them.
@@ -306,6 +308,31 @@ class Links:
         return [b"".join(texts[x:y])[:-1].decode() for x, y in zip([0, *stops], stops)]
 
 
+def _pieces(both: Tokenizers, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+    """The links of these texts; those of one long text in pieces, cut where tokens of both end."""
+    own = n_a > 0
+    if len(b) <= LONG or np.count_nonzero(own) != 1:
+        yield Links(both, a, b, n_a, n_b)
+        return
+    a_end, b_end = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
+    at = np.searchsorted(a_end, b_end)
+    common = np.flatnonzero(a_end[at] == b_end)  # the last tokens end together
+    b_stop = common[np.unique(np.searchsorted(common, np.minimum(np.arange(LONG, len(b) + LONG, LONG), len(b) - 1)))]
+    stops = [(0, 0), *zip((at[b_stop] + 1).tolist(), (b_stop + 1).tolist())]
+    del a_end, b_end, at, common
+    for (x, u), (y, v) in zip(stops, stops[1:]):
+        yield Links(both, a[x:y], b[u:v], own * (y - x), own * (v - u))
+
+
+def _pairs(both: Tokenizers, *ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs linked in these texts, and in how many of them."""
+    found = [links.pairs() for links in _pieces(both, *ids)]
+    if len(found) == 1:
+        return found[0]
+    keys = _distinct(np.concatenate([keys for keys, _ in found]))  # of one text
+    return keys, np.ones_like(keys)
+
+
 def _first(ordered: np.ndarray) -> np.ndarray:
     """Where each different value of a sorted array begins."""
     return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
@@ -339,7 +366,7 @@ def _tokenized(batches, paths: tuple[str, str], rows: bool, pairs: bool):
             nulls = [pa.nulls(batch.num_rows, t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], _binary(a, n_a), _binary(b, n_b), *nulls], names)
         if pairs:
-            found = Links(both, a, b, n_a, n_b).pairs()
+            found = _pairs(both, a, b, n_a, n_b)
             keys.append(found[0])
             counts.append(found[1])
             held += len(found[0])
@@ -477,15 +504,17 @@ def _aligned(batches, paths: tuple[str, str], table, later: bool):
     for batch in slices(batches, "b", SLICE_BYTES // 2):
         ids = [np.frombuffer(b"".join(batch[c].to_pylist()), kind) for c, kind in zip("ab", both.ids)]
         sizes = [pa.compute.binary_length(batch[c]).to_numpy() // kind.itemsize for c, kind in zip("ab", both.ids)]
-        links = Links(both, *ids, *(n.astype(np.int64) for n in sizes))
-        best, sums = map(links.sums, lookup(links.keys))
+        sizes = [n.astype(np.int64) for n in sizes]
+        sums, groups = np.zeros((4, batch.num_rows), np.int64), []
+        for links in _pieces(both, *ids, *sizes):
+            sums += [links.sums(links.common), np.diff(links.until), *map(links.sums, lookup(links.keys))]
+            if not later:
+                groups.append(links.groups())
         if later:
-            best, sums = best + batch["n_best"].to_numpy(), sums + batch["count_sum"].to_numpy()
-            groups = batch["groups"]
-        else:
-            groups = pa.array(links.groups(), pa.string())
-        own = [pa.array(x) for x in (links.n_a, links.n_b, links.sums(links.common), np.diff(links.until), best, sums)]
-        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "a", "b")), *own, groups], ["doc_id", "a", "b", *(f.split()[0] for f in ALIGNED.split(", "))])
+            sums[2] += batch["n_best"].to_numpy()
+            sums[3] += batch["count_sum"].to_numpy()
+        groups = batch["groups"] if later else pa.array([";".join(filter(None, g)) for g in zip(*groups)], pa.string())
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "a", "b")), *map(pa.array, [*sizes, *sums]), groups], ["doc_id", "a", "b", *(f.split()[0] for f in ALIGNED.split(", "))])
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, table: DataFrame | None = None) -> DataFrame:
