@@ -94,3 +94,21 @@ def test_layers_keep_the_event_as_one_value(spark, tables, tmp_path):
         assert columns_of(f"{tmp_path}/{path}") == {"_event.value", "_event.metadata"}
     assert rows.where(F.try_variant_get("_event", "$.event_id", "string") == F.col("event_id")).count() == rows.count() > 0
     assert spark.conf.get("spark.sql.variant.inferShreddingSchema") == before
+
+
+def test_the_lag_counts_events_of_any_id(spark, tmp_path):
+    """Ids beyond a million are events like others; every event is one message of each topic."""
+    day, high = datetime.datetime(2024, 1, 5), 1_000_000
+    ids = [(0, 0), (12, 25), (high + 1, 0), (high + 40, 25), (3 * high + 1, 25)]
+    rows = [(n, day + datetime.timedelta(days=later), 7, "view", 1.0, '{"k": 3}') for n, later in ids]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.topic: (r.total_lag, r.partitions) for r in QUERIES["lag_from_progress"](spark, str(tmp_path)).collect()}
+    expected = {}
+    for topic, width in (("retail.pos.events", 12), ("retail.inventory.events", 6), ("retail.ecommerce.events", 8)):
+        last, read = {}, {}
+        for n, later in ids:
+            last[n % width] = max(last.get(n % width, 0), n + 1)
+            if later < 15:
+                read[n % width] = max(read.get(n % width, 0), n + 1)
+        expected[topic] = (sum(end - read.get(p, 0) for p, end in last.items()), len(last))
+    assert got == expected
